@@ -120,9 +120,11 @@ def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedupe_events(events: DataFrame, delay: str | None = None) -> DataFrame:
     """One row per broker position.
 
-    On a stream, ``delay`` bounds the state: copies at most that far apart in broker time are
-    found. Without it (batch, or a stream that may keep every id) all copies are found.
+    On a stream, ``delay`` bounds the state: copies ingested at most that far apart are found.
+    Without it (batch, or a stream that may keep every id) all copies are found. The watermark runs
+    on the ingest clock, so no event is ever too late: an event-time watermark would drop the
+    backlog of a lagging partition from the raw log.
     """
     if delay and events.isStreaming:
-        return events.withWatermark("kafka_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
+        return events.withWatermark("processed_at", delay).dropDuplicatesWithinWatermark(["event_id"])
     return events.dropDuplicates(["event_id"])

@@ -15,7 +15,7 @@ from chronolake.operators.envelope import classify, dead_letters, dedupe_events,
 LOG_INTERVAL = "60 seconds"
 DEAD_LETTER_INTERVAL = "120 seconds"
 
-# How far apart, in broker time, two deliveries of one event may lie and still be recognised.
+# How far apart two deliveries of one event may be ingested and still be recognised.
 DEDUP_DELAY = "24 hours"
 
 LOG_PARTITIONS = ("source_table", "ingest_date")
