@@ -9,6 +9,7 @@ from chronolake.functions.rules import Buckets, Case, RegexGroup
 from chronolake.functions.specs import EntitySpec
 from chronolake.operators.decode import decode_payload
 from chronolake.operators.envelope import parse_envelope
+from chronolake.session import spread
 from chronolake.sources.snapshots import envelope_json
 
 TOPIC = "cdc.public.users"
@@ -63,7 +64,7 @@ def ingest_clock() -> Column:
 
 
 def parsed_log(spark: SparkSession, folder: str, damaged: bool = False) -> DataFrame:
-    return parse_envelope(change_records(table(spark, folder, "events"), damaged), ingest_clock())
+    return parse_envelope(change_records(spread(table(spark, folder, "events")), damaged), ingest_clock())
 
 
 def decoded_log(spark: SparkSession, folder: str, spec: EntitySpec = STATUS) -> DataFrame:

@@ -50,6 +50,14 @@ TIERS_H = Tiers(star=2_000_000, good=1_700_000, average=1_400_000)
 _REGISTRY: dict[str, Query] = {}
 
 
+def stored(rows: DataFrame, label: str, *partitions: str) -> DataFrame:
+    """Rows written to the shared folder and read back: what several steps read, is computed once,
+    and a lost executor costs one task of reading instead of the whole lineage."""
+    path = fresh_folder(rows.sparkSession, label)
+    rows.write.partitionBy(*partitions).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def query(name: str) -> Callable[[Query], Query]:
     """Register a query. Its instants are handed out without a zone, in UTC."""
 
@@ -167,14 +175,14 @@ def latest_event_per_key(spark, folder):
 
 
 def _history(spark, folder) -> DataFrame:
-    return build_history(data.decoded_log(spark, folder), STATUS)
+    return build_history(stored(data.decoded_log(spark, folder), "decoded"), STATUS)
 
 
 def _two_steps(spark, folder):
     """State after the events before CUT, and the batch of the next run: a day of overlap and the rest."""
     log = data.parsed_log(spark, folder)
     seen = log.where(F.col("kafka_timestamp") < instant(CUT))
-    first = latest_per_key(decode_payload(seen, STATUS))
+    first = stored(latest_per_key(decode_payload(seen, STATUS)), "staged")
     state = apply_scd2(empty_silver(spark, STATUS), first, STATUS, instant(CUT))
     news = incremental_slice(log, STATUS.name, read_watermark(state), lookback_ms=DAY_MS)
     batch = with_row_hash(latest_per_key(decode_payload(news, STATUS)), STATUS)
@@ -230,7 +238,8 @@ def scd2_as_of(spark, folder):
 @query("scd2_fact_join")
 def scd2_fact_join(spark, folder):
     facts = table(spark, folder, "events").select("event_id", "user_id", "ts")
-    joined = fact_join(facts, _history(spark, folder), "user_id", "ts", ["status"])
+    history = stored(_history(spark, folder), "silver", "_is_current")
+    joined = fact_join(facts, history, "user_id", "ts", ["status"])
     return joined.select("event_id", "user_id", "status", "_valid_from", "_valid_to")
 
 
@@ -400,7 +409,7 @@ def dq_lag(spark, folder):
 @query("dq_scd2_invariants")
 def dq_scd2_invariants(spark, folder):
     """A sound history breaks no rule; with its open rows written twice it breaks two per open key."""
-    history = _history(spark, folder)
+    history = stored(_history(spark, folder), "silver", "_is_current")
     sound = quality.history_violations(history).withColumn("written", F.lit("once"))
     doubled = quality.history_violations(history.unionByName(current_rows(history)))
     return sound.unionByName(doubled.withColumn("written", F.lit("open rows twice")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants. Shuffle width is left to the cluster's own value and to AQE.
 BASE_CONF = {
@@ -50,6 +50,16 @@ def build_session(app_name: str, master: str | None = None, conf: dict[str, str]
     return spark
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread rows over all cores where their source has fewer splits than there are cores.
+
+    For work that is heavy per row on few small files. A source with enough splits, as any large
+    one has, is returned as it is: no shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
