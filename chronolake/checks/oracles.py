@@ -326,6 +326,10 @@ FROM o FULL OUTER JOIN w ON o.id = w.id WHERE before_json IS DISTINCT FROM after
                 "k": "event_type = 'error'",
             }.items()
         ),
+        "dq_payload_fields": """SELECT 'id' AS field, count(*) AS row_count, true AS declared FROM events
+UNION ALL SELECT 'status', count(*), true FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'k', count(*), true FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'amount', count(*), false FROM events WHERE event_type <> 'error'""",
         "dq_duplicates": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
         "dq_orphans": "\nUNION ALL ".join(
             f"SELECT '{child}.{column}' AS reference, {column} AS missing_key, count(*) AS row_count FROM {child} "
@@ -340,7 +344,7 @@ FROM o FULL OUTER JOIN w ON o.id = w.id WHERE before_json IS DISTINCT FROM after
         "dq_lag": """SELECT 'users' AS source_table, count(*) AS event_count, min(event_id % 5000) AS min_lag_ms,
        max(event_id % 5000) AS max_lag_ms, CAST(sum(event_id % 5000) AS DOUBLE) / count(*) AS avg_lag_ms FROM events""",
         "dq_scd2_invariants": f"""WITH {_HISTORY}
-SELECT id, 2 AS open_rows, 0 AS flag_mismatches, 1 AS overlaps, 'open rows twice' AS written FROM hs WHERE _is_current""",
+SELECT id, CAST(2 AS BIGINT) AS open_rows, CAST(0 AS BIGINT) AS flag_mismatches, CAST(1 AS BIGINT) AS overlaps, 'open rows twice' AS written FROM hs WHERE _is_current""",
         "health_rollup": f"""WITH {_HEALTH}
 SELECT *, connector_state = 'RUNNING' AND tasks_failed = 0 AS healthy FROM hl""",
         "health_summary": f"""WITH {_HEALTH}

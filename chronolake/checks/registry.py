@@ -377,6 +377,11 @@ def dq_nulls(spark, folder):
     return quality.null_counts(data.decoded_log(spark, folder, ACCOUNT), ["id", "status", "amount", "k"])
 
 
+@query("dq_payload_fields")
+def dq_payload_fields(spark, folder):
+    return quality.payload_fields(data.parsed_log(spark, folder), VISIT)
+
+
 @query("dq_duplicates")
 def dq_duplicates(spark, folder):
     return quality.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])

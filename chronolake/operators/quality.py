@@ -8,20 +8,29 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolake.functions.specs import KEY
+from chronolake.functions.specs import KEY, EntitySpec
 from chronolake.operators.history import end_of_validity
 from chronolake.operators.skew import MAX_ROWS_PER_KEY, balance, with_neighbours
 
 
 def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and NULLs per column, from one pass: ``column_name, total_rows, null_rows``."""
-    counted = rows.agg(
-        F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
+    counted = rows.agg(F.count(F.lit(1)).alias("total_rows"), *nulls)
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_rows")) for i, c in enumerate(columns)]
     )
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_rows")) for i, c in enumerate(columns)])
     return counted.select("total_rows", F.inline(pairs)).select("column_name", "total_rows", "null_rows")
 
 
+def payload_fields(events: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Fields that row images hold, how often, and whether the entity declares them: schema drift."""
+    image = F.when(F.col("operation") == "d", F.col("before_json")).otherwise(F.col("after_json"))
+    fields = events.select(F.explode(F.json_object_keys(image)).alias("field"))
+    counts = fields.groupBy("field").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.withColumn("declared", F.col("field").isin(*spec.columns))
+
+
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
@@ -63,9 +72,12 @@ def ingest_lag(events: DataFrame) -> DataFrame:
     """Per entity: how long after the source commit its events were ingested, in milliseconds."""
     lag = F.unix_millis("processed_at") - F.col("source_ts_ms")
     counts = events.groupBy("source_table").agg(
-        F.count(lag).alias("event_count"), F.min(lag).alias("min_lag_ms"), F.max(lag).alias("max_lag_ms"), F.sum(lag).alias("sum")
+        F.count(lag).alias("event_count"),
+        F.min(lag).alias("min_lag_ms"),
+        F.max(lag).alias("max_lag_ms"),
+        F.sum(lag).alias("total_lag_ms"),
     )
-    mean = F.col("sum") / F.col("event_count")
+    mean = F.col("total_lag_ms") / F.col("event_count")
     return counts.select("source_table", "event_count", "min_lag_ms", "max_lag_ms", mean.alias("avg_lag_ms"))
 
 
@@ -105,7 +117,8 @@ STATUS = "struct<connector:struct<state:string>,tasks:array<struct<state:string>
 def connector_health(documents: DataFrame, status: str = "status") -> DataFrame:
     """Per connector, from its status document: state, running and failed tasks, and a verdict."""
     parsed = documents.withColumn("_s", F.from_json(status, STATUS))
-    states = F.transform(F.coalesce("_s.tasks", F.array().cast("array<struct<state:string>>")), lambda t: F.coalesce(t["state"], F.lit("UNKNOWN")))
+    tasks_or_none = F.coalesce("_s.tasks", F.array().cast("array<struct<state:string>>"))
+    states = F.transform(tasks_or_none, lambda task: F.coalesce(task["state"], F.lit("UNKNOWN")))
     state = F.coalesce("_s.connector.state", F.lit("UNKNOWN"))
 
     def tasks(name: str):

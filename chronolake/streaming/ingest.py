@@ -20,8 +20,14 @@ DEDUP_DELAY = "24 hours"
 
 LOG_PARTITIONS = ("source_table", "ingest_date")
 
-# Keeps dedup state on disk instead of on the heap; set before the first stream starts.
+# Files a micro-batch writes per log partition, at most. More than one, so that an entity with most
+# of a batch's rows is still written by several tasks.
+FILES_PER_PARTITION = 8
+
+# Dedup state on disk instead of on the heap, and several open files per task instead of a sort by
+# partition; set before the first stream starts.
 STREAM_CONF = {
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -77,7 +83,8 @@ def start_split_ingest(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             number = F.lit(batch_id).alias("_batch_id")
-            good = with_ingest_date(good_events(batch)).select("*", number)
+            slot = F.pmod(F.xxhash64("event_id"), F.lit(FILES_PER_PARTITION))
+            good = with_ingest_date(good_events(batch)).select("*", number).repartition(*LOG_PARTITIONS, slot)
             _overwrite(good.write.partitionBy(*LOG_PARTITIONS, "_batch_id")).parquet(log_path)
             dead = dead_letters(batch).select("*", number)
             _overwrite(dead.write.partitionBy("_batch_id")).json(dead_letter_path)

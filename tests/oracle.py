@@ -30,6 +30,17 @@ def bag(columns, rows):
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# Types that stand for each other in the two engines.
+_SAME = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def compare(frame, sql, connection):
     """None if equal, else a short description."""
     result = connection.execute(sql)
@@ -37,6 +48,9 @@ def compare(frame, sql, connection):
     expected = result.fetchall()
     if sorted(frame.columns) != sorted(names):
         return f"columns differ: {sorted(frame.columns)} / {sorted(names)}"
+    expected_types = {d[0]: _SAME.get(str(d[1]), str(d[1])) for d in result.description}
+    if expected_types != dict(frame.dtypes):
+        return f"types differ: {sorted(set(frame.dtypes) ^ set(expected_types.items()))}"
     got = [tuple(r) for r in frame.collect()]
     left, right = bag(frame.columns, got), bag(names, expected)
     if left != right:

@@ -62,7 +62,7 @@ class Feed:
                 **source,
             },
         }
-        return self.raw(json.dumps(envelope), f"cdc.public.{table}")
+        return self.raw(json.dumps(envelope), f"cdc.public.{table}", offset=self.position)
 
     def raw(self, value, topic="cdc.public.users", partition=0, offset=None):
         if offset is None:
