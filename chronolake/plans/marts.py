@@ -134,14 +134,15 @@ def product_days(orders: DataFrame, order_time: str = "_valid_from") -> DataFram
     )
 
 
-def _best_product() -> Column:
-    """Highest revenue; equal revenue goes to the smallest product id."""
-    return F.max_by("product_id", F.struct("revenue_cents", -F.col("product_id")))
+def _by_revenue() -> Column:
+    """Rank of a product in its day; equal revenue ranks the smallest product id first."""
+    return F.struct("revenue_cents", -F.col("product_id"))
 
 
 def top_products(orders: DataFrame, order_time: str = "_valid_from") -> DataFrame:
     """Best-selling product of each day: ``order_date, top_product_id``."""
-    return product_days(orders, order_time).groupBy("order_date").agg(_best_product().alias("top_product_id"))
+    best = F.max_by("product_id", _by_revenue())
+    return product_days(orders, order_time).groupBy("order_date").agg(best.alias("top_product_id"))
 
 
 def daily_sales(
@@ -149,31 +150,37 @@ def daily_sales(
 ) -> DataFrame:
     """Orders, revenue, customers and best product per day.
 
-    Everything but the distinct customers is rolled up from the (day, product) totals.
+    One pass over the orders yields both the (day, product) totals and the distinct (day, user)
+    pairs; the day's row is rolled up from those.
     """
-    days = (
-        product_days(orders, order_time)
-        .groupBy("order_date")
-        .agg(
-            F.sum("order_count").alias("total_orders"),
-            F.sum("priced_orders").alias("priced_orders"),
-            F.sum("revenue_cents").alias("revenue_cents"),
-            _best_product().alias("top_product_id"),
-        )
+    facts = orders.select(
+        F.date_format(order_time, DAY).alias("order_date"), "product_id", "user_id", "total_amount"
+    )
+    sets = [["order_date", "product_id"], ["order_date", "user_id"]]
+    pairs = facts.groupingSets(sets, "order_date", "product_id", "user_id").agg(
+        (F.grouping("user_id") == 1).alias("of_product"),
+        F.count(F.lit(1)).alias("order_count"),
+        F.count("total_amount").alias("priced_orders"),
+        F.sum(cents("total_amount")).alias("revenue_cents"),
     )
-    customers = (
-        orders.select(F.date_format(order_time, DAY).alias("order_date"), "user_id")
-        .groupBy("order_date")
-        .agg(F.countDistinct("user_id").alias("unique_customers"))
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(F.col("of_product"), F.col(column)))
+
+    days = pairs.groupBy("order_date").agg(
+        total("order_count").alias("total_orders"),
+        total("revenue_cents").alias("revenue_cents"),
+        total("priced_orders").alias("priced_orders"),
+        F.count_if(~F.col("of_product") & F.col("user_id").isNotNull()).alias("unique_customers"),
+        F.max_by("product_id", F.when(F.col("of_product"), _by_revenue())).alias("top_product_id"),
     )
     revenue = money(F.col("revenue_cents"))
-    same_day = days["order_date"].eqNullSafe(customers["order_date"])
-    return days.join(customers, same_day, "left").select(
-        days["order_date"].alias("date_key"),
+    return days.select(
+        F.col("order_date").alias("date_key"),
         "total_orders",
         revenue.alias("total_revenue"),
         (revenue / F.col("priced_orders")).alias("avg_order_value"),
-        F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
+        "unique_customers",
         F.coalesce("top_product_id", F.lit(0)).alias("top_product_id"),
         _stamp(refreshed_at),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.specs import KEY, ORDER, EntitySpec
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
-from chronolake.operators.incremental import LOOKBACK_MS, incremental_slice, read_watermark
+from chronolake.operators.incremental import LOOKBACK_MS, incremental_slice
 from chronolake.operators.scd2 import advance_fences, apply_actions, plan_actions
 
 LOG_TYPES = {
@@ -84,6 +84,7 @@ MARTS = {
 BUCKETS = 512
 
 _RUN = "chronolake.run"
+_WATERMARK = "chronolake.watermark"
 
 
 def ensure_database(spark: SparkSession, database: str) -> None:
@@ -110,10 +111,13 @@ def _ddl(types: Mapping[str, str]) -> str:
     return ", ".join(f"`{name}` {type_name}" for name, type_name in types.items())
 
 
+def _properties(spark: SparkSession, view: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+
+
 def _committed_run(spark: SparkSession, view: str) -> int:
     """Number of the run the view shows; 0 before the first."""
-    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
-    return int(properties[_RUN])
+    return int(_properties(spark, view)[_RUN])
 
 
 def _insert_run(rows: DataFrame, table: str) -> None:
@@ -173,16 +177,18 @@ class SilverTable:
                 f"PARTITIONED BY ({', '.join(partitions)}) CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS"
             )
         if not exists(spark, self.view):
-            self._show(spark, 0)
+            self._show(spark, 0, None)
 
     def _business_and_audit(self) -> list[str]:
         types = self.spec.silver_types()
         return [c for c in types if not c.startswith("_")]
 
-    def _show(self, spark: SparkSession, run: int) -> None:
+    def _show(self, spark: SparkSession, run: int, watermark: int | None) -> None:
+        """Commit: show ``run``, and keep its high-water mark with it so that no run has to scan for it."""
         columns = ", ".join(f"`{c}`" for c in self.spec.silver_types())
+        properties = f"'{_RUN}' = '{run}'" + ("" if watermark is None else f", '{_WATERMARK}' = '{watermark}'")
         spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('{_RUN}' = '{run}') AS SELECT {columns} "
+            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ({properties}) AS SELECT {columns} "
             f"FROM {self.versions} WHERE (_is_current AND _run_id = {run}) OR (NOT _is_current AND _run_id <= {run})"
         )
 
@@ -202,12 +208,14 @@ class SilverTable:
         """
         spark = log.sparkSession
         self.create(spark)
-        done = _committed_run(spark, self.view)
+        committed = _properties(spark, self.view)
+        done = int(committed[_RUN])
+        mark = int(committed[_WATERMARK]) if _WATERMARK in committed else None
         run = done + 1
         for table in (self.versions, self.fences, self.staging):
             self._drop_run(spark, table, run)
 
-        events = incremental_slice(log, self.spec.name, read_watermark(spark.table(self.view)), lookback_ms)
+        events = incremental_slice(log, self.spec.name, mark, lookback_ms)
         keyed = decode_payload(events, self.spec).where(F.col(KEY).isNotNull())
         staged_count = Observation()
         batch = with_row_hash(latest_per_key(keyed), self.spec).observe(staged_count, F.count(F.lit(1)).alias("rows"))
@@ -224,17 +232,20 @@ class SilverTable:
             counts,
             F.count_if(F.col("_is_current")).alias("open"),
             F.count_if(~F.col("_is_current")).alias("closed"),
+            F.max("source_ts_ms").alias("watermark"),
         )
         _insert_run(rows.withColumn("_run_id", F.lit(run).cast("bigint")), self.versions)
         fences = advance_fences(known, staged).withColumn("_run_id", F.lit(run).cast("bigint"))
         _insert_run(fences, self.fences)
-        self._show(spark, run)
+        written = counts.get
+        marks = [m for m in (mark, written["watermark"]) if m is not None]
+        self._show(spark, run, max(marks, default=None))
 
         # The run before stays for readers that still use it; everything older is unreachable.
         spark.sql(f"ALTER TABLE {self.versions} DROP IF EXISTS PARTITION (_run_id = {run - 2}, _is_current = true)")
         for table in (self.fences, self.staging):
             self._drop_run(spark, table, run - 2)
-        return {"staged": staged_count.get["rows"], **counts.get}
+        return {"staged": staged_count.get["rows"], "open": written["open"], "closed": written["closed"]}
 
     def _drop_run(self, spark: SparkSession, table: str, run: int) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_run_id = {run})")

@@ -122,6 +122,12 @@ def test_replay_changes_nothing_then_changes_are_versioned(shop):
     assert shop.rows("SELECT count(*) FROM {db}.silver_users") == [(7,)]
 
 
+def test_the_committed_watermark_is_the_newest_time_in_the_table(shop, spark):
+    for name in ("users", "products", "orders"):
+        kept = dict(spark.sql(f"SHOW TBLPROPERTIES {shop.database}.silver_{name}").collect())["chronolake.watermark"]
+        assert shop.rows(f"SELECT max(source_ts_ms) FROM {{db}}.silver_{name}") == [(int(kept),)]
+
+
 def test_leftovers_of_a_dead_run_stay_invisible(shop, spark):
     table = SilverTable(shop.database, USERS, 8)
     shown = shop.rows("SELECT count(*), count_if(_is_current) FROM {db}.silver_users")
