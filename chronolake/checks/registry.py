@@ -32,7 +32,7 @@ from chronolake.plans.marts import (
     top_products,
     user_analytics,
 )
-from chronolake.session import fresh_folder
+from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshots import diff_snapshots, snapshot_to_events
 from chronolake.streaming.ingest import start_dead_letter_writer, start_log_writer, start_split_ingest
 
@@ -50,14 +50,6 @@ TIERS_H = Tiers(star=2_000_000, good=1_700_000, average=1_400_000)
 _REGISTRY: dict[str, Query] = {}
 
 
-def stored(rows: DataFrame, label: str, *partitions: str) -> DataFrame:
-    """Rows written to the shared folder and read back: what several steps read, is computed once,
-    and a lost executor costs one task of reading instead of the whole lineage."""
-    path = fresh_folder(rows.sparkSession, label)
-    rows.write.partitionBy(*partitions).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def query(name: str) -> Callable[[Query], Query]:
     """Register a query. Its instants are handed out without a zone, in UTC."""
 

@@ -17,6 +17,7 @@ KEY = "id"
 # Columns that decide which of two events of one key is the later one.
 ORDER = ("pg_lsn", "source_ts_ms", "kafka_offset")
 
+# Columns that travel from the event to the row.
 AUDIT = ("operation", "source_ts_ms", "processed_at", "kafka_partition", "kafka_offset", "pg_lsn")
 
 AUDIT_TYPES = {

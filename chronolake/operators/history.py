@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronolake.functions.specs import CLOSE, KEY, ORDER, EntitySpec
 from chronolake.operators.decode import with_row_hash
 from chronolake.operators.skew import MAX_ROWS_PER_KEY, SEGMENT, balance, with_neighbours
+from chronolake.session import stored
 
 
 def build_history(rows: DataFrame, spec: EntitySpec, max_rows_per_key: int = MAX_ROWS_PER_KEY) -> DataFrame:
@@ -90,7 +91,7 @@ def fact_join(
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     version = F.struct("_valid_from", "_valid_to", *version_columns)
     fact_columns = facts.columns
-    starts = history.select(
+    starts = history.where(F.col(KEY).isNotNull()).select(
         F.col(KEY).alias("_key"),
         F.col("_valid_from").alias("_at"),
         F.lit(0).alias("_kind"),
@@ -126,8 +127,8 @@ def _carry_forward(stream: DataFrame, *group: str) -> DataFrame:
 
 
 def _carry_across_segments(stream: DataFrame) -> DataFrame:
-    # The segment numbers are read twice below; the checkpoint makes both reads see the same ones.
-    stream = stream.checkpoint()
+    # The segment numbers are read twice below; writing them down makes both reads see the same ones.
+    stream = stored(stream, "segments")
     own = F.max_by("_version", F.when(F.col("_kind") == 0, F.struct("_at", "_end")))
     ends = stream.groupBy("_key", SEGMENT).agg(own.alias("_own"))
     earlier = Window.partitionBy("_key").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)

@@ -111,12 +111,12 @@ def table_stats(history: DataFrame) -> DataFrame:
     )
 
 
-STATUS = "struct<connector:struct<state:string>,tasks:array<struct<state:string>>>"
+STATUS_DOCUMENT = "struct<connector:struct<state:string>,tasks:array<struct<state:string>>>"
 
 
 def connector_health(documents: DataFrame, status: str = "status") -> DataFrame:
     """Per connector, from its status document: state, running and failed tasks, and a verdict."""
-    parsed = documents.withColumn("_s", F.from_json(status, STATUS))
+    parsed = documents.withColumn("_s", F.from_json(status, STATUS_DOCUMENT))
     tasks_or_none = F.coalesce("_s.tasks", F.array().cast("array<struct<state:string>>"))
     states = F.transform(tasks_or_none, lambda task: F.coalesce(task["state"], F.lit("UNKNOWN")))
     state = F.coalesce("_s.connector.state", F.lit("UNKNOWN"))

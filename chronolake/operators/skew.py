@@ -38,21 +38,22 @@ def balance(rows: DataFrame, key: str, order: Sequence[str], max_rows: int = MAX
     spark = rows.sparkSession
     shared_folder(spark)
     hot_keys = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
-    hot_keys = hot_keys.where(F.col(key).isNotNull()).checkpoint()
+    hot_keys = hot_keys.checkpoint()
     load = hot_keys.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
     if load["keys"] == 0:
         return Balanced(rows, None)
-    names = hot_keys.select(key)
+    names = hot_keys.select(F.col(key).alias("_hot_key"))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))  # rows without a key can be many, too
     if load["keys"] <= _MAX_BROADCAST_KEYS:
         names = F.broadcast(names)
     segments = max(2, -(-load["rows"] // max_rows))
     by_order = [F.col(key).asc(), *[F.col(c).asc() for c in order]]
     hot = (
-        rows.join(names, key, "left_semi")
+        rows.join(names, is_hot, "left_semi")
         .repartitionByRange(segments, *by_order)
         .withColumn(SEGMENT, F.spark_partition_id())
     )
-    return Balanced(rows.join(names, key, "left_anti"), hot)
+    return Balanced(rows.join(names, is_hot, "left_anti"), hot)
 
 
 def with_neighbours(

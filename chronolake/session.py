@@ -16,15 +16,24 @@ BASE_CONF = {
     "spark.sql.streaming.metricsEnabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.files.maxPartitionBytes": "134217728",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "134217728",
 }
 
-# Commit settings of the optional Iceberg profile (used only where its jar is on the classpath).
+# Commit settings of the optional Iceberg profile (used only where its jar is on the classpath).
 _ICEBERG_COMMIT = {
     "commit.retry.num-retries": "10",
     "commit.retry.min-wait-ms": "100",
     "commit.retry.max-wait-ms": "30000",
 }
 
+# Table properties of the Iceberg profile (for TBLPROPERTIES).
+ICEBERG_TABLE = {
+    "format-version": "2",
+    "write.parquet.compression-codec": "zstd",
+    "write.metadata.compression-codec": "gzip",
+    "write.target-file-size-bytes": "134217728",
+}
+
 
 def iceberg_conf(catalog: str, warehouse: str, **catalog_options: str) -> dict[str, str]:
     """Settings that expose an Iceberg catalog; pass ``catalog_impl``/``io_impl`` as needed."""
@@ -82,3 +91,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, label: str, *partitions: str) -> DataFrame:
+    """Rows written to the shared folder and read back.
+
+    What several steps read is computed once, with one fixed result, and a lost executor costs some
+    reading instead of the whole lineage.
+    """
+    path = fresh_folder(rows.sparkSession, label)
+    rows.write.partitionBy(*partitions).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

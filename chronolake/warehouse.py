@@ -19,6 +19,7 @@ from chronolake.operators.decode import decode_payload, latest_per_key, with_row
 from chronolake.operators.incremental import LOOKBACK_MS, incremental_slice
 from chronolake.operators.scd2 import advance_fences, apply_actions, plan_actions
 
+# Columns of the raw log.
 LOG_TYPES = {
     "topic": "string",
     "kafka_partition": "int",

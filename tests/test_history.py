@@ -104,3 +104,20 @@ def test_hot_keys_are_cut_into_even_segments(spark):
 def test_no_hot_key_means_one_plain_window(spark):
     parts = balance(spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("o")), "k", ["o"])
     assert parts.hot is None
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_facts_without_a_key_keep_their_row_and_get_no_version(spark, hot_history, limit):
+    _, history = hot_history
+    facts = spark.range(60).select("id", F.lit(None).cast("bigint").alias("user"), F.current_timestamp().alias("at"))
+    unkeyed = history.limit(1).withColumn("id", F.lit(None).cast("bigint"))
+    joined = fact_join(facts, history.unionByName(unkeyed), "user", "at", ["status"], max_rows_per_key=limit)
+    assert joined.count() == 60 and joined.where("_valid_from IS NOT NULL").isEmpty()
+
+
+def test_rows_without_a_key_are_split_like_a_hot_key(spark):
+    rows = spark.range(100).select(F.when(F.col("id") < 20, F.col("id")).alias("k"), F.col("id").alias("o"))
+    parts = balance(rows, "k", ["o"], max_rows=10)
+    assert parts.cold.count() == 20 and parts.hot.count() == 80
+    near = with_neighbours(parts.hot, "k", ["o"], previous={"before": "o"})
+    assert near.where(F.col("o") - F.col("before") == 1).count() == 79
