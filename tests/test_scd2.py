@@ -128,3 +128,16 @@ def test_merge_statement_lists_every_column():
     text = merge_statement("silver", "staging", STATUS)
     assert all(f"`{c}`" in text for c in STATUS.silver_types())
     assert text.count("WHEN MATCHED") == 2 and text.count("WHEN NOT MATCHED") == 1
+
+
+def test_events_without_a_log_position_are_ordered_by_time(spark):
+    def unplaced(op, ts_ms, status=None):
+        return {"id": 1, "status": status, "op": op, "ts_ms": ts_ms, "lsn": None, "offset": ts_ms}
+
+    first = latest_per_key(decoded(spark, [unplaced("c", 10, "a"), unplaced("u", 20, "b")]))
+    open_rows = apply_scd2(empty_silver(spark, STATUS), first, STATUS, F.timestamp_millis(F.lit(1)))
+    actions = {}
+    for event in (unplaced("u", 15, "c"), unplaced("u", 30, "c"), {**unplaced("u", 5, "c"), "lsn": 1}):
+        staged = latest_per_key(decoded(spark, [event]))
+        actions[event["ts_ms"]] = plan_actions(open_rows, staged, STATUS).first()["action"]
+    assert actions == {15: "SKIP", 30: "CLOSE_AND_INSERT", 5: "CLOSE_AND_INSERT"}
