@@ -116,7 +116,7 @@ def order_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order facts: one per row of ``lineitem``, with buyer and date of its order."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").alias("user_id"),

@@ -121,17 +121,27 @@ def product_analytics(
     )
 
 
+def _totals() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("order_count"),
+        F.count("total_amount").alias("priced_orders"),
+        F.sum(cents("total_amount")).alias("revenue_cents"),
+    ]
+
+
+def _dated(orders: DataFrame, order_time: str) -> DataFrame:
+    """Only what the daily marts need. Days are grouped as dates and written as text at the end."""
+    return orders.select(F.to_date(order_time).alias("order_date"), "product_id", "user_id", "total_amount")
+
+
+def _day_text() -> Column:
+    return F.date_format("order_date", DAY)
+
+
 def product_days(orders: DataFrame, order_time: str = "_valid_from") -> DataFrame:
     """Orders and revenue per day and product."""
-    return (
-        orders.withColumn("order_date", F.date_format(order_time, DAY))
-        .groupBy("order_date", "product_id")
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.count("total_amount").alias("priced_orders"),
-            F.sum(cents("total_amount")).alias("revenue_cents"),
-        )
-    )
+    totals = _dated(orders, order_time).groupBy("order_date", "product_id").agg(*_totals())
+    return totals.withColumn("order_date", _day_text())
 
 
 def _by_revenue() -> Column:
@@ -153,15 +163,10 @@ def daily_sales(
     One pass over the orders yields both the (day, product) totals and the distinct (day, user)
     pairs; the day's row is rolled up from those.
     """
-    facts = orders.select(
-        F.date_format(order_time, DAY).alias("order_date"), "product_id", "user_id", "total_amount"
-    )
+    facts = _dated(orders, order_time)
     sets = [["order_date", "product_id"], ["order_date", "user_id"]]
     pairs = facts.groupingSets(sets, "order_date", "product_id", "user_id").agg(
-        (F.grouping("user_id") == 1).alias("of_product"),
-        F.count(F.lit(1)).alias("order_count"),
-        F.count("total_amount").alias("priced_orders"),
-        F.sum(cents("total_amount")).alias("revenue_cents"),
+        (F.grouping("user_id") == 1).alias("of_product"), *_totals()
     )
 
     def total(column: str) -> Column:
@@ -176,7 +181,7 @@ def daily_sales(
     )
     revenue = money(F.col("revenue_cents"))
     return days.select(
-        F.col("order_date").alias("date_key"),
+        _day_text().alias("date_key"),
         "total_orders",
         revenue.alias("total_revenue"),
         (revenue / F.col("priced_orders")).alias("avg_order_value"),
