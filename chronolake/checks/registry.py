@@ -34,7 +34,7 @@ from chronolake.plans.marts import (
 )
 from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshots import diff_snapshots, snapshot_to_events
-from chronolake.streaming.ingest import start_dead_letter_writer, start_log_writer, start_split_ingest
+from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -317,6 +317,7 @@ def snapshot_diff(spark, folder):
 
 
 def _record_stream(spark, folder, damaged=False) -> DataFrame:
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = table(spark, folder, "events").schema
     # A pattern, because the file stream takes a plain path only if it is a folder.
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{folder}/event[s].parquet")
@@ -327,7 +328,7 @@ def _record_stream(spark, folder, damaged=False) -> DataFrame:
 def stream_bronze(spark, folder):
     path = fresh_folder(spark, "log")
     good, _ = split_events(parse_envelope(_record_stream(spark, folder, damaged=True)))
-    start_log_writer(good, path, f"{path}-checkpoint", interval=None).awaitTermination()
+    start_log_writer(good, path, f"{path}-checkpoint", interval=None, copy_tasks=COPY_TASKS).awaitTermination()
     written = spark.read.parquet(path)
     return written.select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
 
@@ -346,7 +347,7 @@ def stream_dedup(spark, folder):
     path = fresh_folder(spark, "log")
     delivered = _record_stream(spark, folder).unionByName(_record_stream(spark, folder))
     good, _ = split_events(parse_envelope(delivered))
-    start_log_writer(good, path, f"{path}-checkpoint", interval=None).awaitTermination()
+    start_log_writer(good, path, f"{path}-checkpoint", interval=None, copy_tasks=COPY_TASKS).awaitTermination()
     return spark.read.parquet(path).select("event_id", "kafka_offset", "raw_value")
 
 
@@ -355,7 +356,8 @@ def stream_split(spark, folder):
     path = fresh_folder(spark, "split")
     log, dead = f"{path}/log", f"{path}/dead"
     records = _record_stream(spark, folder, damaged=True)
-    start_split_ingest(records, log, dead, f"{path}/checkpoint", interval=None).awaitTermination()
+    checkpoint = f"{path}/checkpoint"
+    start_split_ingest(records, log, dead, checkpoint, interval=None, copy_tasks=COPY_TASKS).awaitTermination()
     good = spark.read.parquet(log).select("kafka_offset", F.lit("GOOD").alias("outcome"))
     bad = spark.read.schema("kafka_offset bigint, error_type string").json(dead)
     return good.unionByName(bad.select("kafka_offset", F.col("error_type").alias("outcome")))

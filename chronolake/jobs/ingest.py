@@ -8,7 +8,14 @@ import os
 from chronolake.session import build_session
 from chronolake.sources.files import read_record_files
 from chronolake.sources.kafka import TOPICS, kafka_options, read_kafka
-from chronolake.streaming.ingest import DEDUP_DELAY, LOG_INTERVAL, STREAM_CONF, await_any, start_split_ingest
+from chronolake.streaming.ingest import (
+    COPY_TASKS,
+    DEDUP_DELAY,
+    LOG_INTERVAL,
+    STREAM_CONF,
+    await_any,
+    start_split_ingest,
+)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -46,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         interval=None if args.available_now else args.interval,
         delay=args.dedup_delay,
         snapshot_ops=tuple(args.snapshot_ops),
+        copy_tasks=COPY_TASKS if args.files else 0,
     )
     if args.available_now:
         query.awaitTermination()

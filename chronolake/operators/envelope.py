@@ -117,14 +117,22 @@ def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good_events(classified), dead_letters(classified)
 
 
-def dedupe_events(events: DataFrame, delay: str | None = None) -> DataFrame:
+def dedupe_events(events: DataFrame, delay: str | None = None, copy_tasks: int = 0) -> DataFrame:
     """One row per broker position.
 
     On a stream, ``delay`` bounds the state: copies ingested at most that far apart are found.
     Without it (batch, or a stream that may keep every id) all copies are found. The watermark runs
     on the ingest clock, so no event is ever too late: an event-time watermark would drop the
     backlog of a lagging partition from the raw log.
+
+    A batch drops copies before its shuffle. A stream sends all copies of a micro-batch to one task,
+    which is fine for a small rate limit; for large micro-batches ``copy_tasks`` first drops them
+    in that many tasks per event, at the price of a second state.
     """
     if delay and events.isStreaming:
-        return events.withWatermark("processed_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+        events = events.withWatermark("processed_at", delay)
+        if copy_tasks:
+            part = F.pmod(F.spark_partition_id(), F.lit(copy_tasks))
+            events = events.withColumn("_part", part).dropDuplicatesWithinWatermark(["event_id", "_part"]).drop("_part")
+        return events.dropDuplicatesWithinWatermark(["event_id"])
     return events.dropDuplicates(["event_id"])

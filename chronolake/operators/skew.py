@@ -4,6 +4,10 @@ A plain window puts a whole key into one task. Here keys above ``max_rows`` are
 map-side combined count), and only their rows are cut into contiguous, evenly filled segments by
 a range partitioning on (key, order). Work then runs per segment, and only segment borders meet in
 one task: at most two rows per segment.
+
+Rows of one key that agree in the order (copies of one event, facts of one instant) may be cut
+apart, too. The partition they were read from breaks the tie: unlike a random number it is the same
+when a lost task runs again.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from chronolake.session import shared_folder
 
@@ -47,11 +52,12 @@ def balance(rows: DataFrame, key: str, order: Sequence[str], max_rows: int = MAX
     if load["keys"] <= _MAX_BROADCAST_KEYS:
         names = F.broadcast(names)
     segments = max(2, -(-load["rows"] // max_rows))
-    by_order = [F.col(key).asc(), *[F.col(c).asc() for c in order]]
     hot = (
-        rows.join(names, is_hot, "left_semi")
-        .repartitionByRange(segments, *by_order)
+        rows.withColumn("_tie", F.spark_partition_id())
+        .join(names, is_hot, "left_semi")
+        .repartitionByRange(segments, *[F.col(c).asc() for c in (key, *order, "_tie")])
         .withColumn(SEGMENT, F.spark_partition_id())
+        .drop("_tie")
     )
     return Balanced(rows.join(names, is_hot, "left_anti"), hot)
 
@@ -70,7 +76,7 @@ def with_neighbours(
     """
     previous, following = dict(previous or {}), dict(following or {})
 
-    def look(window) -> dict[str, Column]:
+    def look(window: WindowSpec) -> dict[str, Column]:
         columns = {new: F.lag(old).over(window) for new, old in previous.items()}
         columns.update({new: F.lead(old).over(window) for new, old in following.items()})
         return columns
@@ -88,7 +94,8 @@ def with_neighbours(
         }
     )
     group = F.when(F.col("_first") | F.col("_last"), F.lit(-1)).otherwise(F.col(SEGMENT))
-    across = Window.partitionBy(key, "_group").orderBy(*ascending)
+    # Segments follow each other in order, so their numbers sort the border rows, ties included.
+    across = Window.partitionBy(key, "_group").orderBy(SEGMENT, "_last")
     rows = rows.withColumn("_group", group).withColumns({f"_across_{new}": c for new, c in look(across).items()})
     fixed = {new: F.when(F.col("_first"), F.col(f"_across_{new}")).otherwise(F.col(new)) for new in previous}
     fixed.update({new: F.when(F.col("_last"), F.col(f"_across_{new}")).otherwise(F.col(new)) for new in following})

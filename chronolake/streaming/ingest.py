@@ -20,14 +20,18 @@ DEDUP_DELAY = "24 hours"
 
 LOG_PARTITIONS = ("source_table", "ingest_date")
 
+# Tasks that share the copies of one event where micro-batches are large (file backlogs).
+COPY_TASKS = 64
+
 # Files a micro-batch writes per log partition, at most. More than one, so that an entity with most
 # of a batch's rows is still written by several tasks.
 FILES_PER_PARTITION = 8
 
-# Dedup state on disk instead of on the heap, and several open files per task instead of a sort by
-# partition; set before the first stream starts.
+# Dedup state on disk instead of on the heap, several open files per task instead of a sort by
+# partition, no empty batches just to clean state; set before the first stream starts.
 STREAM_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "32",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -45,10 +49,15 @@ def with_ingest_date(events: DataFrame) -> DataFrame:
 
 
 def start_log_writer(
-    good: DataFrame, path: str, checkpoint: str, interval: str | None = LOG_INTERVAL, delay: str | None = DEDUP_DELAY
+    good: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = LOG_INTERVAL,
+    delay: str | None = DEDUP_DELAY,
+    copy_tasks: int = 0,
 ) -> StreamingQuery:
     """Append good events, each once, to the partitioned raw log; exactly-once by the sink's commit log."""
-    rows = with_ingest_date(dedupe_events(good, delay))
+    rows = with_ingest_date(dedupe_events(good, delay, copy_tasks))
     writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     writer = writer.partitionBy(*LOG_PARTITIONS).outputMode("append").queryName("raw-log-writer")
     return _triggered(writer, interval).start()
@@ -70,6 +79,7 @@ def start_split_ingest(
     interval: str | None = LOG_INTERVAL,
     delay: str | None = DEDUP_DELAY,
     snapshot_ops: tuple[str, ...] = (),
+    copy_tasks: int = 0,
 ) -> StreamingQuery:
     """Read and parse the source once and write both logs from each micro-batch.
 
@@ -77,7 +87,8 @@ def start_split_ingest(
     is run again after a failure replaces its files instead of adding to them. (The batch clock is
     part of the stream's offset log, so a repeated batch also gets the same ingest date.)
     """
-    stream = dedupe_events(classify(parse_envelope(records, snapshot_ops=snapshot_ops)), delay)
+    classified = classify(parse_envelope(records, snapshot_ops=snapshot_ops))
+    stream = dedupe_events(classified, delay, copy_tasks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)

@@ -121,3 +121,24 @@ def test_rows_without_a_key_are_split_like_a_hot_key(spark):
     assert parts.cold.count() == 20 and parts.hot.count() == 80
     near = with_neighbours(parts.hot, "k", ["o"], previous={"before": "o"})
     assert near.where(F.col("o") - F.col("before") == 1).count() == 79
+
+
+def test_copies_of_one_event_are_cut_apart_and_fold_into_one_version(spark):
+    log = random_log(21, keys=3, events=200)
+    copies = decoded(spark, [e for e in log for _ in range(6)]).unionByName(decoded(spark, log[50:51] * 900).repartition(8))
+    parts = balance(copies, "id", ["pg_lsn", "source_ts_ms", "kafka_offset"], max_rows=100)
+    sizes = [r["count"] for r in parts.hot.groupBy(SEGMENT).count().collect()]
+    assert sum(sizes) == 2100 and max(sizes) < 450
+    history = build_history(copies, STATUS, max_rows_per_key=100)
+    got = history.select("id", "status", millis("_valid_from"), millis("_valid_to"), "is_active", "_close_lsn").collect()
+    assert sorted((tuple(r) for r in got), key=str) == full_history(log)
+
+
+def test_many_equal_facts_of_one_instant_keep_their_number(spark, hot_history):
+    log, history = hot_history
+    version = current_rows(history).select("id", "status", "_valid_from").first()
+    facts = spark.range(2000, numPartitions=16).select(
+        F.lit(version["id"]).alias("user"), F.lit(version["_valid_from"]).cast("timestamp").alias("at")
+    )
+    joined = fact_join(facts, history, "user", "at", ["status"], max_rows_per_key=100)
+    assert [tuple(r) for r in joined.groupBy("status").count().collect()] == [(version["status"], 2000)]

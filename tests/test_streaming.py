@@ -69,6 +69,23 @@ def test_split_ingest_writes_both_logs_once(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "dead")).count() == 2
 
 
+def test_copies_spread_over_tasks_are_still_found(spark, tmp_path):
+    feed = Feed()
+    records = feed.seeds()
+    for n in range(6):
+        write_records(tmp_path / "in", f"{n}.json", records + [records[3]] * 50)
+
+    def run():
+        source = read_record_files(spark, str(tmp_path / "in"), max_files_per_trigger=4)
+        good, _ = split_events(parse_envelope(source))
+        start_log_writer(good, str(tmp_path / "log"), str(tmp_path / "c"), interval=None, copy_tasks=4).awaitTermination()
+        return offsets(spark.read.parquet(str(tmp_path / "log")))
+
+    assert run() == list(range(1, 24))
+    write_records(tmp_path / "in", "late.json", [records[3], feed.record("users", "u", {"id": 1})])
+    assert run() == list(range(1, 25))
+
+
 def test_old_events_are_never_too_late(spark, tmp_path):
     """The watermark follows the ingest clock, so a backlog of any age passes."""
     feed = Feed()
