@@ -124,8 +124,9 @@ def test_replayed_batch_has_no_unseen_rows(spark):
     assert [r["id"] for r in unseen_rows(changed, open_rows, STATUS).collect()] == [1]
 
 
-def test_merge_statement_lists_every_column():
+def test_merge_statement_is_valid_sql_and_lists_every_column(spark):
     text = merge_statement("silver", "staging", STATUS)
+    assert "MergeIntoTable" in spark._jsparkSession.sessionState().sqlParser().parsePlan(text).getClass().getName()
     assert all(f"`{c}`" in text for c in STATUS.silver_types())
     assert text.count("WHEN MATCHED") == 2 and text.count("WHEN NOT MATCHED") == 1
 
