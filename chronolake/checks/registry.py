@@ -296,7 +296,10 @@ def gold_counts(spark, folder):
         "gold_product_analytics": gold_product_analytics(spark, folder),
         "gold_sales_summary": gold_daily_sales(spark, folder),
     }
-    counts = [rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("mart"), "row_count") for name, rows in marts.items()]
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("mart"), "row_count")
+        for name, rows in marts.items()
+    ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 

@@ -14,11 +14,9 @@ def content_hash(columns: Sequence[str], length_prefixed: bool = False) -> Colum
     The plain form cannot tell 'a||b' from 'a','b', nor the text 'NULL' from a missing value;
     ``length_prefixed`` writes each length first and can.
     """
+    texts = [F.col(c).cast("string") for c in columns]
     if length_prefixed:
-        parts = [
-            F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
-            for c in columns
-        ]
+        parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     else:
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]
+        parts = [F.coalesce(t, F.lit("NULL")) for t in texts]
     return F.sha2(F.concat_ws("||", *parts), 256)

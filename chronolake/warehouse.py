@@ -165,9 +165,10 @@ class SilverTable:
         types = self.spec.silver_types()
         business = {**{c: types[c] for c in self._business_and_audit()}, "_hash": "string"}
         order = {c: types[c] for c in ORDER}
+        fence = f"struct<{','.join(f'{c}:{t}' for c, t in order.items())}>"
         layouts = {
             self.versions: ({k: v for k, v in types.items() if k != "_is_current"}, ["_run_id", "_is_current"]),
-            self.fences: ({KEY: types[KEY], "fence": f"struct<{','.join(f'{c}:{t}' for c, t in order.items())}>"}, ["_run_id"]),
+            self.fences: ({KEY: types[KEY], "fence": fence}, ["_run_id"]),
             self.staging: (business, ["_run_id"]),
         }
         partition_types = {"_run_id": "bigint", "_is_current": "boolean"}
@@ -175,7 +176,8 @@ class SilverTable:
             ddl = _ddl({**columns, **{p: partition_types[p] for p in partitions}})
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet OPTIONS (compression 'zstd') "
-                f"PARTITIONED BY ({', '.join(partitions)}) CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS"
+                f"PARTITIONED BY ({', '.join(partitions)}) "
+                f"CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS"
             )
         if not exists(spark, self.view):
             self._show(spark, 0, None)
