@@ -61,9 +61,10 @@ def exact_dedup(
         rows = rows.select("row", F.lit(-1).alias("salt"))
 
     # The sort key is an expression on the row: the normalised copy of a text is never shuffled.
-    ranged = rows.repartitionByRange(ascii_lower(raw).asc(), F.col("salt").asc())
+    salt = ["salt"] if salted else []  # a constant would hide that the window needs no second shuffle
+    ranged = rows.repartitionByRange(ascii_lower(raw).asc(), *[F.col(c).asc() for c in salt])
     ranged = ranged.withColumn("norm", ascii_lower(raw))
-    grouped = _neighbours(ranged, ["norm", "salt"], F.col(f"row.`{key}`"), F.lit(1))
+    grouped = _neighbours(ranged, ["norm", *salt], F.col(f"row.`{key}`"), F.lit(1))
     sha = F.sha2(F.col("norm").cast("binary"), 256)
     result = F.col("row") if keep_row else F.struct(F.col(f"row.`{key}`").alias(key))
     grouped = grouped.select(
