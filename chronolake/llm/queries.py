@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.mixing import mix
+from chronolake.llm.secrets import find_secrets, secret_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +27,13 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digest(find_secrets(table(spark, folder, "documents")))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op3_mixing": op3_mixing,
+        "op10_secrets": op10_secrets,
     }
