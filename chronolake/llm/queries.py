@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.mixing import mix
 from chronolake.llm.secrets import find_secrets, secret_digest
+from chronolake.llm.top_k import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(find_secrets(table(spark, folder, "documents")))
 
@@ -35,5 +40,6 @@ def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op3_mixing": op3_mixing,
+        "op6_top_k": op6_top_k,
         "op10_secrets": op10_secrets,
     }
