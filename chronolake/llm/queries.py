@@ -11,6 +11,7 @@ from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.mixing import mix
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
+from chronolake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,6 +44,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
         "op6_top_k": op6_top_k,
         "op10_secrets": op10_secrets,
