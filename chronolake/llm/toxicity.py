@@ -194,7 +194,7 @@ def _toxic_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sign = min((zlib.crc32(w.encode()) for w in words), default=0)
             stems += own
             signatures += [sign] * len(own)
-        yield pd.DataFrame({"stem": stems, "sign": pd.Series(signatures, dtype="int64")})
+        yield pd.DataFrame({"stem": pd.Series(stems, dtype=object), "sign": pd.Series(signatures, dtype="int64")})
 
 
 def _clean_stems(wanted: frozenset[str]):
@@ -203,7 +203,7 @@ def _clean_stems(wanted: frozenset[str]):
         for batch in batches:
             for text in batch["text"]:
                 found.update({s for w in _words(text) for s in _stems(w) if s in wanted})
-        yield pd.DataFrame({"stem": list(found), "n": pd.Series(list(found.values()), dtype="int64")})
+        yield pd.DataFrame({"stem": pd.Series(list(found), dtype=object), "n": pd.Series(list(found.values()), dtype="int64")})
 
     return run
 
