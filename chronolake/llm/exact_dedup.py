@@ -1,8 +1,10 @@
 """Exact dedup by content sort.
 
-``repartitionByRange`` samples splitters of the normalised texts and deals the rows into ranges; the
-window's sort (external: it spills) places equal texts next to each other, and the window closes a group
-where a text differs from its neighbour: whole texts are compared, no hash decides.
+``repartitionByRange`` samples splitters and deals the rows into ranges of the normalised texts' heads; behind
+a common head (a licence, say) a fingerprint cuts on, so that the driver sees short splitters only and no
+range is forced to hold all texts of one head. The window's sort (external: it spills) places equal texts
+next to each other, and the window closes a group where a text differs from its neighbour: whole texts are
+compared, no fingerprint decides.
 
 A text with very many copies would fill one range. Such texts are found first by a combined count of
 fingerprints of a coarser text (full lower case: equal texts stay equal), and only their rows get a
@@ -21,6 +23,9 @@ from chronolake.session import stored
 # Copies of one text that one task sorts and buffers.
 MAX_COPIES = 256
 
+# Characters of a text that the splitters of the ranges hold.
+HEAD = 64
+
 # Bound of the broadcast list of texts that are salted: the limit of copies rises with the table, so that
 # no more than this many texts can exceed it.
 MAX_HOT_TEXTS = 500_000
@@ -51,20 +56,21 @@ def exact_dedup(
         "hot-texts",
     )
     salted = not hot.isEmpty()
+    rows = rows.withColumns({"head": ascii_lower(F.left(raw, F.lit(HEAD))), "coarse": coarse})
+    groups = ["head", "coarse"]
     if salted:
         chunks = F.ceil(F.col("copies") / F.lit(limit)).cast("int")
         salts = F.broadcast(hot.select("hot_text", chunks.alias("chunks")))
         spread = F.pmod(F.xxhash64(F.col(f"row.`{key}`")), F.col("chunks")).cast("int")
-        rows = rows.withColumn("coarse", coarse).join(salts, F.col("coarse") == F.col("hot_text"), "left")
-        rows = rows.select("row", F.coalesce(spread, F.lit(-1)).alias("salt"))
-    else:
-        rows = rows.select("row", F.lit(-1).alias("salt"))
-
-    # The sort key is an expression on the row: the normalised copy of a text is never shuffled.
-    salt = ["salt"] if salted else []  # a constant would hide that the window needs no second shuffle
-    ranged = rows.repartitionByRange(ascii_lower(raw).asc(), *[F.col(c).asc() for c in salt])
-    ranged = ranged.withColumn("norm", ascii_lower(raw))
-    grouped = _neighbours(ranged, ["norm", *salt], F.col(f"row.`{key}`"), F.lit(1))
+        rows = rows.join(salts, F.col("coarse") == F.col("hot_text"), "left")
+        rows = rows.select("row", *groups, F.coalesce(spread, F.lit(-1)).alias("salt"))
+        groups.append("salt")  # only here: a constant would hide that the window needs no second shuffle
+
+    # The whole text is normalised behind the shuffle; equal texts agree in all columns of the ranges.
+    ranged = rows.repartitionByRange(*[F.col(c).asc() for c in groups]).withColumn("norm", ascii_lower(raw))
+    grouped = _neighbours(ranged, [*groups, "norm"], F.col(f"row.`{key}`"), F.lit(1))
+    if not salted:
+        grouped = grouped.withColumn("salt", F.lit(-1))
     sha = F.sha2(F.col("norm").cast("binary"), 256)
     result = F.col("row") if keep_row else F.struct(F.col(f"row.`{key}`").alias(key))
     grouped = grouped.select(
@@ -82,9 +88,10 @@ def exact_dedup(
 
     grouped = stored(grouped, "content-sort")
     tops = grouped.where(F.col("norm").isNotNull()).select("norm", "salt", "text_sha256", "keep_id", "group_size")
+    tops = tops.withColumn("head", F.left("norm", F.lit(HEAD)))
     whole = _neighbours(
-        tops.withColumnRenamed("keep_id", "top").withColumnRenamed("group_size", "part").repartitionByRange("norm"),
-        ["norm"],
+        tops.withColumnRenamed("keep_id", "top").withColumnRenamed("group_size", "part").repartitionByRange("head", "text_sha256"),
+        ["head", "text_sha256", "norm"],
         F.col("top"),
         F.col("part"),
     )
