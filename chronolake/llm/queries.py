@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake.llm.exact_dedup import exact_dedup
+from chronolake.llm.language import language
 from chronolake.llm.mixing import mix
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
@@ -37,6 +38,10 @@ def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language(table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(find_secrets(table(spark, folder, "documents")))
 
@@ -47,5 +52,6 @@ def registered() -> dict[str, Query]:
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
         "op6_top_k": op6_top_k,
+        "op7_language": op7_language,
         "op10_secrets": op10_secrets,
     }
