@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.language import language
 from chronolake.llm.mixing import mix
+from chronolake.llm.near_dups import near_duplicates
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
 from chronolake.llm.toxicity import toxicity
@@ -42,6 +43,10 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language(table(spark, folder, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(find_secrets(table(spark, folder, "documents")))
 
@@ -53,5 +58,6 @@ def registered() -> dict[str, Query]:
         "op3_mixing": op3_mixing,
         "op6_top_k": op6_top_k,
         "op7_language": op7_language,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_secrets": op10_secrets,
     }
