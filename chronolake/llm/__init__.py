@@ -1 +1,8 @@
 """Operators for preparing training corpora. Nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks are sent with their code: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,6 +11,7 @@ from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.language import language
 from chronolake.llm.mixing import mix
 from chronolake.llm.near_dups import near_duplicates
+from chronolake.llm.passages import repeated_passages
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
 from chronolake.llm.toxicity import toxicity
@@ -43,6 +44,10 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language(table(spark, folder, "documents"))
 
 
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -58,6 +63,7 @@ def registered() -> dict[str, Query]:
         "op3_mixing": op3_mixing,
         "op6_top_k": op6_top_k,
         "op7_language": op7_language,
+        "op8_repeated_passages": op8_repeated_passages,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_secrets": op10_secrets,
     }

@@ -9,7 +9,7 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POWERS = np.ones(64, dtype=np.uint64)
+_POWERS = np.ones(1, dtype=np.uint64)
 
 
 def _powers(n: int) -> np.ndarray:
