@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolake.llm.ranks import numbered
 from chronolake.llm.text import packed, text_of, word_count
 from chronolake.session import stored
 
@@ -88,39 +89,16 @@ def mix(
         F.col(f"`{source}`").cast("string").alias("source"),
         word_count(text_of(F.col(f"`{text}`"))).alias("size"),
     )
-    pieces = stored(
-        stored(narrow, "mix-sizes")
-        .repartitionByRange(F.col("source").asc(), F.col("size").asc(), F.col("key").asc())
-        .withColumn("piece", F.spark_partition_id()),
-        "mix-pieces",
-    )
-    targets = source_targets(pieces, weights, max_repeats)
-    along = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        pieces.groupBy("source", "piece")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("before", F.coalesce(F.sum("rows").over(along), F.lit(0)))
-        .join(targets.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))
-        .select(
-            F.col("source").alias("s_source"),
-            F.col("piece").alias("s_piece"),
-            "before",
-            "source_size",
-            "target",
-        )
-    )
-    inside = Window.partitionBy("source", "piece").orderBy("size", "key")
-    numbered = pieces.withColumn("place", F.row_number().over(inside))
-    # As many rows as (source, piece) pairs: partitions plus sources.
-    numbered = numbered.join(
-        starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("piece") == F.col("s_piece"))
-    )
-    last = F.col("before") + F.col("place")
+    narrow = stored(narrow, "mix-sizes")
+    targets = source_targets(narrow, weights, max_repeats).withColumnRenamed("source", "t_source")
+    numbered_rows = numbered(narrow, "source", "size", "key")
+    numbered_rows = numbered_rows.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    last = F.col("rank")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(last * expected + offset(F.col("source"))) - F.floor(
         (last - 1) * expected + offset(F.col("source"))
     )
-    return numbered.withColumn("copies", copies.cast("long")).select(
+    return numbered_rows.withColumn("copies", copies.cast("long")).select(
         F.col("key").alias(key),
         "size",
         "source_size",

@@ -11,6 +11,7 @@ from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.language import language
 from chronolake.llm.mixing import mix
 from chronolake.llm.near_dups import near_duplicates
+from chronolake.llm.packing import pack
 from chronolake.llm.passages import repeated_passages
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
@@ -36,6 +37,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))
+
+
 def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
 
@@ -61,6 +66,7 @@ def registered() -> dict[str, Query]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
+        "op5_packing": op5_packing,
         "op6_top_k": op6_top_k,
         "op7_language": op7_language,
         "op8_repeated_passages": op8_repeated_passages,
