@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.language import language
+from chronolake.llm.lm_scoring import lm_scores
 from chronolake.llm.mixing import mix
 from chronolake.llm.near_dups import near_duplicates
 from chronolake.llm.packing import pack
@@ -37,6 +38,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
@@ -66,6 +71,7 @@ def registered() -> dict[str, Query]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_packing": op5_packing,
         "op6_top_k": op6_top_k,
         "op7_language": op7_language,

@@ -31,17 +31,23 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """One hash for each word (a run of anything but ASCII white space), A-Z read in lower case."""
+    return word_hashes_and_ends(text)[0]
+
+
+def word_hashes_and_ends(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The words' hashes, and the last two bytes of each word as one number."""
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
     inside = ~_BLANK[raw]
     edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     lengths = ends - starts
     letters = raw[inside].astype(np.uint64) + np.uint64(1)
     first = np.cumsum(lengths) - lengths
     place = np.arange(len(letters)) - np.repeat(first, lengths)
-    return mix(np.add.reduceat(letters * _powers(int(lengths.max()))[place], first))
+    tails = raw[ends - 1].astype(np.int64) + 256 * np.where(lengths > 1, raw[ends - 2].astype(np.int64), 0)
+    return mix(np.add.reduceat(letters * _powers(int(lengths.max()))[place], first)), tails
 
 
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
