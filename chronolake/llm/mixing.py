@@ -47,7 +47,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     everything = Window.partitionBy(F.lit(0))
     before = fill.rowsBetween(Window.unboundedPreceding, -1)
     after = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # The level if exactly the sources before this one are full; the first that stays below its cap sets it.
+    # The level if exactly the sources before this one are full. The first that then stays below its cap sets it;
+    # behind that one the levels only fall.
     ranked = ranked.withColumns(
         {
             "rest": F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)),
@@ -56,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     )
     level = F.col("rest").cast("double") / F.col("open_weight")
     fits = level * F.col("weight") <= F.col("cap")
-    ranked = ranked.withColumn("level", F.min(F.when(fits, level)).over(everything))
+    ranked = ranked.withColumn("level", F.max(F.when(fits, level)).over(everything))
     target = F.least(F.col("cap").cast("double"), F.col("weight") * F.col("level"))
     return ranked.select("source", "source_size", "source_rows", "weight", target.alias("target"))
 

@@ -32,7 +32,7 @@ r AS (
   FROM s WINDOW f AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, source NULLS LAST)
 ),
 l AS (
-  SELECT min(CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE))
+  SELECT max(CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE))
          FILTER (CAST(rest AS DOUBLE) / CAST(open_weight AS DOUBLE) * weight <= 3 * source_size) AS level FROM r
 ),
 t AS (

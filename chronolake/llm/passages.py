@@ -131,11 +131,12 @@ def _prefixes(words: np.ndarray) -> np.ndarray:
 
 def _spans_of(rows: pd.DataFrame) -> pd.DataFrame:
     """Spans (key, start, end, first) of passages that suffixes of different texts share."""
+    nothing = pd.DataFrame({c: [] for c in ("key", "start", "end", "first")}, dtype="int64")
     runs = rows["run"].to_numpy()
     near = runs[1:] == runs[:-1]
+    if not near.any():
+        return nothing
     rows = rows[np.append(near, False) | np.append(False, near)]
-    if not len(rows):
-        return pd.DataFrame({c: [] for c in ("key", "start", "end", "first")}, dtype="int64")
     left, n_left = _matrix(rows["left"])
     right, n_right = _matrix(rows["right"])
     to_left = np.arange(REACH + 1)
@@ -152,7 +153,7 @@ def _spans_of(rows: pd.DataFrame) -> pd.DataFrame:
     shared[order], first[order] = (low < high)[group], low[group]
     row, by, first = row[shared], by[shared], first[shared]
     if not len(row):
-        return pd.DataFrame({c: [] for c in ("key", "start", "end", "first")}, dtype="int64")
+        return nothing
     # Successive passages of a row make one span; more words to the left mean an earlier start.
     cut = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (by[1:] != by[:-1] + 1)))
     end = np.append(cut[1:], len(row)) - 1
