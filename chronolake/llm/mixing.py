@@ -3,7 +3,8 @@
 Within a source, every document has the same expected number of copies (target / size of the source).
 The documents stand in the order (size, id); the expected copies are summed along it, one random offset
 is added, and a document is emitted once for each integer that its stretch crosses. As neighbours have
-about the same size, the words taken stay within about one document of the target.
+about the same size, the words taken stay within about one long document of the target. Few long documents
+can make that much, so the offset is drawn OFFSETS times, and the draw whose words come nearest is used.
 
 A source may hold a third of all rows, so no task numbers a whole source. Narrow rows are range-partitioned
 by (source, size, id); each piece counts its rows, the counts are summed over the pieces of a source (one
@@ -26,6 +27,7 @@ MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 
 SEED = "mixing"
+OFFSETS = 16  # random offsets that are drawn for each source
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -62,12 +64,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return ranked.select("source", "source_size", "source_rows", "weight", target.alias("target"))
 
 
-def offset(source: Column, seed: str = SEED) -> Column:
-    """The random offset of a source in [0, 1), from the digest of its name."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit("\u0000"))).cast("binary"))
+def offset(source: Column, draw: int, seed: str = SEED) -> Column:
+    """A random offset of a source in [0, 1), from the digest of its name and the number of the draw."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{draw}:"), F.coalesce(source, F.lit("\u0000"))).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(2**52))
 
 
+def _copies(start: Column) -> Column:
+    """Integers crossed by the stretch of the row, which ends at rank * expected."""
+    return (F.floor(F.col("rank") * F.col("expected") + start) - F.floor((F.col("rank") - 1) * F.col("expected") + start)).cast("long")
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -92,14 +99,21 @@ def mix(
     )
     narrow = stored(narrow, "mix-sizes")
     targets = source_targets(narrow, weights, max_repeats).withColumnRenamed("source", "t_source")
-    numbered_rows = numbered(narrow, "source", "size", "key")
-    numbered_rows = numbered_rows.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
-    last = F.col("rank")
+    ranked = numbered(narrow, "source", "size", "key")
+    ranked = ranked.join(targets, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(last * expected + offset(F.col("source"))) - F.floor(
-        (last - 1) * expected + offset(F.col("source"))
+    ranked = stored(ranked.withColumn("expected", expected), "mix-ranks")
+    draws = [offset(F.col("source"), i) for i in range(OFFSETS)]
+    drawn = ranked.groupBy(F.col("source").alias("d_source"), F.col("target").alias("d_target")).agg(
+        *[F.sum(F.col("size") * _copies(u)).alias(f"w{i}") for i, u in enumerate(draws)]
     )
-    return numbered_rows.withColumn("copies", copies.cast("long")).select(
+    tried = [
+        F.struct(F.abs(F.col(f"w{i}") - F.col("d_target")).alias("off"), F.lit(i).alias("i"), u.alias("u"))
+        for i, u in enumerate(offset(F.col("d_source"), i) for i in range(OFFSETS))
+    ]
+    drawn = drawn.select("d_source", F.array_min(F.array(*tried))["u"].alias("start"))
+    ranked = ranked.join(drawn, F.col("source").eqNullSafe(F.col("d_source")))
+    return ranked.withColumn("copies", _copies(F.col("start"))).select(
         F.col("key").alias(key),
         "size",
         "source_size",

@@ -37,18 +37,31 @@ l AS (
 ),
 t AS (
   SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * level) AS target,
-         CAST('0x' || substr(md5('mixing:' || coalesce(source, chr(0))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+         CASE WHEN source_size > 0 THEN least(CAST(3 * source_size AS DOUBLE), weight * level) / source_size
+              ELSE 0.0 END AS e
   FROM s, l
 ),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, t.u,
-         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.e,
          row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS place
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-)
+),
+-- Of sixteen random offsets for each source, the one whose words come nearest to the target.
+u AS (
+  SELECT source, i, CAST('0x' || substr(md5('mixing:' || i || ':' || coalesce(source, chr(0))), 1, 13) AS BIGINT)
+                    / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM t, range(16) AS draws(i)
+),
+w AS (
+  SELECT p.source, u.i, any_value(u.u) AS u,
+         abs(sum(CAST(size * (floor(place * e + u.u) - floor((place - 1) * e + u.u)) AS BIGINT)) - any_value(target)) AS off
+  FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source
+  GROUP BY p.source, u.i
+),
+b AS (SELECT source, u FROM w QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, i) = 1)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (floor(place * e + CAST(u AS DOUBLE)) - floor((place - 1) * e + CAST(u AS DOUBLE))) AS BIGINT) AS taken
-FROM p
+       CAST(size * (floor(place * e + u) - floor((place - 1) * e + u)) AS BIGINT) AS taken
+FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
 """
 
 OP6 = """
