@@ -137,6 +137,11 @@ mg AS (
   FROM pa a JOIN b2 ON b2.id = a.id WHERE a.action IN ('INSERT', 'CLOSE_AND_INSERT')
 )"""
 
+# The same with runs that read by delivery: the second reads what the first hasn't.
+_TABLE_STEPS = _STEPS.replace(
+    "source_ts_ms > (SELECT max(source_ts_ms) FROM op) - 86400000", "ts >= TIMESTAMP '2024-01-16'"
+)
+
 _FACTS = """
 f AS (
   SELECT user_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS product_id,
@@ -276,8 +281,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)
         "scd2_actions": f"WITH {_STEPS} SELECT id, action FROM pa",
         "scd2_merge": f"WITH {_STEPS} SELECT * FROM mg",
         "scd2_anti_replay": f"""WITH {_STEPS}
-SELECT id, operation, kafka_offset, _hash FROM b2
-WHERE NOT EXISTS (SELECT 1 FROM mg WHERE mg._is_current AND mg.id = b2.id AND mg._hash = b2._hash)""",
+SELECT 'first' AS delivery, id, operation, kafka_offset, _hash FROM b2
+WHERE operation <> 'd' AND NOT EXISTS (SELECT 1 FROM op WHERE op.id = b2.id AND op._hash = b2._hash)
+UNION ALL
+SELECT 'replay', b2.id, b2.operation, b2.kafka_offset, b2._hash FROM b2 JOIN pa ON pa.id = b2.id LEFT JOIN op ON op.id = b2.id
+WHERE b2.operation <> 'd' AND pa.action = 'SKIP' AND (op.id IS NULL OR op._hash <> b2._hash)""",
+        "silver_after_two_runs": f"WITH {_TABLE_STEPS} SELECT * FROM mg",
+        "refine_late_events": f"""WITH {_ROWS}, b AS ({_latest("rw", "true")})
+SELECT id, status, pg_lsn FROM b WHERE operation <> 'd'""",
+        "decode_connector_types": """SELECT o_orderkey AS id,
+       (CAST(round(o_totalprice * 100) AS BIGINT) - 20000000) / 100.0::DOUBLE AS total_amount,
+       CAST(o_orderkey AS BIGINT) AS created_at FROM orders""",
         "scd2_last_closed": f"WITH {_HISTORY} SELECT id, max(_valid_to) AS last_valid_to FROM hs WHERE NOT _is_current GROUP BY id",
         "scd2_current": f"WITH {_HISTORY} SELECT id, status, pg_lsn, _valid_from FROM hs WHERE _is_current",
         "silver_stats": f"WITH {_HISTORY} SELECT count(*) AS total_rows, count(*) FILTER (_is_current) AS current_rows FROM hs",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from chronolake.checks import inputs as data
 from chronolake.checks.inputs import ACCOUNT, STATUS, VISIT, instant, table
-from chronolake.functions.specs import CLOSE
+from chronolake.functions.specs import CLOSE, ENTITIES
 from chronolake.operators import quality
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
 from chronolake.operators.envelope import (
@@ -35,6 +36,7 @@ from chronolake.plans.marts import (
 from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshots import diff_snapshots, snapshot_to_events
 from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
+from chronolake.warehouse import SilverTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +129,39 @@ def incremental_slice_day(spark, folder):
     return rows.select("event_id", "source_ts_ms", "operation")
 
 
+# --- the table path: catalog, runs, views ---------------------------------------------------
+
+
+def _refined(spark, folder, batches):
+    """Refine (rows, validity stamp) pairs in turn into a silver table of a database of its own."""
+    database = f"checks_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_folder(spark, database)}'")
+    silver = SilverTable(database, STATUS, 8)
+    log = None
+    for number, (rows, stamp) in enumerate(batches):
+        rows = rows.withColumn("_batch_id", F.lit(number).cast("bigint"))
+        log = rows if log is None else log.unionByName(rows)
+        silver.refine(log, stamp)
+    return spark.table(silver.view)
+
+
+@query("silver_after_two_runs")
+def silver_after_two_runs(spark, folder):
+    log = stored(data.parsed_log(spark, folder), "log")
+    early = F.col("kafka_timestamp") < instant(CUT)
+    return _refined(spark, folder, [(log.where(early), instant(CUT)), (log.where(~early), instant(AFTER))])
+
+
+@query("refine_late_events")
+def refine_late_events(spark, folder):
+    """Two thirds of the keys reach the log after events of later times have been consumed, some undated."""
+    log = stored(data.parsed_log(spark, folder), "log")
+    part = F.pmod(F.crc32(F.get_json_object(F.coalesce("after_json", "before_json"), "$.id").cast("binary")), F.lit(3))
+    dated = log.withColumn("source_ts_ms", F.when(F.col("kafka_offset") % 10 != 0, F.col("source_ts_ms")))
+    batches = [(dated.where(F.coalesce(part, F.lit(0)) == i), instant(AFTER)) for i in range(3)]
+    return _refined(spark, folder, batches).where("_is_current").select("id", "status", "pg_lsn")
+
+
 # --- typed rows ------------------------------------------------------------------------------
 
 
@@ -135,6 +170,22 @@ def decode_payload_all(spark, folder):
     return data.decoded_log(spark, folder, ACCOUNT)
 
 
+@query("decode_connector_types")
+def decode_connector_types(spark, folder):
+    """Order totals less 200,000 as a connector encodes them: base64 of the unscaled number; times in microseconds."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") - 20_000_000
+    size = F.expr("CASE WHEN c BETWEEN -8388608 AND 8388607 THEN 3 ELSE 8 END")
+    low = F.expr("unhex(right(lpad(hex(c), 16, '0'), 2 * size))")
+    encoded = table(spark, folder, "orders").select("o_orderkey", cents.alias("c")).withColumn("size", size)
+    encoded = encoded.select("o_orderkey", F.base64(low).alias("text"), (F.col("o_orderkey") * 1000 + 999).alias("micros"))
+    payload = F.to_json(
+        F.struct(F.col("o_orderkey").alias("id"), F.col("text").alias("total_amount"), F.col("micros").alias("created_at"))
+    )
+    spec = ENTITIES["orders"].as_connector({"total_amount": 2}, ("created_at",))
+    rows = encoded.select(F.from_json(payload, spec.payload_schema()).alias("p"))
+    return rows.select(*spec.typed("p")).select("id", "total_amount", "created_at")
+
+
 @query("derive_email_domain")
 def derive_email_domain(spark, folder):
     return data.customers(spark, folder).select("id", "email", "email_domain")
@@ -204,7 +255,9 @@ def scd2_merge(spark, folder):
 def scd2_anti_replay(spark, folder):
     open_rows, batch, known = _two_steps(spark, folder)
     after = current_rows(apply_scd2(open_rows, batch, STATUS, instant(AFTER), known))
-    return unseen_rows(batch, after, STATUS).select("id", "operation", "kafka_offset", "_hash")
+    columns = ["id", "operation", "kafka_offset", "_hash"]
+    first = unseen_rows(batch, open_rows, STATUS).select(F.lit("first").alias("delivery"), *columns)
+    return first.unionByName(unseen_rows(batch, after, STATUS).select(F.lit("replay").alias("delivery"), *columns))
 
 
 @query("scd2_last_closed")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column
@@ -48,11 +48,17 @@ _INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """``columns`` maps name to Spark type; ``rules`` maps derived column name to its rule."""
+    """``columns`` maps name to Spark type; ``rules`` maps derived column name to its rule.
+
+    ``decimals`` gives the scale of columns that arrive as encoded decimals, ``micros`` names times that
+    arrive in microseconds; see ``as_connector``.
+    """
 
     name: str
     columns: Mapping[str, str]
     rules: Mapping[str, Rule] = field(default_factory=dict)
+    decimals: Mapping[str, int] = field(default_factory=dict)
+    micros: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if KEY not in self.columns:
@@ -76,7 +82,17 @@ class EntitySpec:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
 
     def typed(self, payload: str) -> list[Column]:
-        return [_lenient(F.col(f"{payload}.{c}"), t).alias(c) for c, t in self.columns.items()]
+        return [self._value(F.col(f"{payload}.{c}"), c, t).alias(c) for c, t in self.columns.items()]
+
+    def _value(self, text: Column, column: str, type_name: str) -> Column:
+        if column in self.decimals:
+            return from_connector_decimal(text, self.decimals[column]).cast(type_name)
+        value = _lenient(text, type_name)
+        return F.floor(value / 1000).cast(type_name) if column in self.micros else value
+
+    def as_connector(self, decimals: Mapping[str, int] | None = None, micros: tuple[str, ...] = ()) -> EntitySpec:
+        """The same entity where the connector keeps its defaults: encoded decimals, times in microseconds."""
+        return replace(self, decimals=dict(decimals or {}), micros=tuple(micros))
 
     def derived(self) -> dict[str, Column]:
         return {name: rule.build() for name, rule in self.rules.items()}
@@ -96,7 +112,22 @@ def _lenient(text: Column, type_name: str) -> Column:
         return text
     if type_name in _INTEGRAL:
         return F.coalesce(text.try_cast(type_name), text.try_cast("double").try_cast(type_name))
-    return text.try_cast(type_name)
+    value = text.try_cast(type_name)
+    if type_name in ("double", "float"):  # the source's numbers may be NaN or infinite: no amounts
+        value = F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    return value
+
+
+def from_connector_decimal(text: Column, scale: int) -> Column:
+    """A decimal as connectors encode it by default: base64 of the unscaled big-endian two's complement.
+
+    Up to eight bytes (18 digits); NULL for longer and for malformed text.
+    """
+    raw = F.try_to_binary(text, F.lit("base64"))
+    size = F.octet_length(raw)
+    sign = F.when(F.substring(F.hex(raw), 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0"))
+    value = F.conv(F.lpad(F.hex(raw), 16, sign), 16, -10).try_cast("bigint")
+    return F.when((size >= 1) & (size <= 8), value / F.lit(float(10**scale)))
 
 
 # The three source tables, their types and their category bounds.

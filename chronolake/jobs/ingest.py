@@ -1,4 +1,4 @@
-"""Ingest job: ``spark-submit -m chronolake.jobs.ingest --log ... --dead-letters ... --checkpoint ...``."""
+"""Ingest job: ``spark-submit chronolake/jobs/ingest.py --log ... --dead-letters ... --checkpoint ...``."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import argparse
 import os
 
 from chronolake.session import build_session
-from chronolake.sources.files import read_record_files
-from chronolake.sources.kafka import TOPICS, kafka_options, read_kafka
+from chronolake.sources.files import MAX_FILES_PER_TRIGGER, read_record_files
+from chronolake.sources.kafka import MAX_OFFSETS_PER_TRIGGER, TOPICS, kafka_options, read_kafka
 from chronolake.streaming.ingest import (
     COPY_TASKS,
     DEDUP_DELAY,
@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--available-now", action="store_true")
     parser.add_argument("--dedup-delay", default=DEDUP_DELAY)
     parser.add_argument("--snapshot-ops", nargs="*", default=[])
+    parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="of a micro-batch")
+    parser.add_argument("--max-files", type=int, default=MAX_FILES_PER_TRIGGER, help="of a micro-batch")
     args = parser.parse_args(argv)
 
     spark = build_session("chronolake-ingest", conf=STREAM_CONF)
@@ -38,13 +40,14 @@ def main(argv: list[str] | None = None) -> None:
         options = kafka_options(
             args.brokers,
             args.topics,
+            max_offsets_per_trigger=args.max_offsets,
             security_protocol=os.getenv("KAFKA_SECURITY_PROTOCOL", "PLAINTEXT"),
             username=os.getenv("KAFKA_USERNAME"),
             password=os.getenv("KAFKA_PASSWORD"),
         )
         records = read_kafka(spark, options)
     else:
-        records = read_record_files(spark, args.files)
+        records = read_record_files(spark, args.files, max_files_per_trigger=args.max_files)
     query = start_split_ingest(
         records,
         args.log,

@@ -8,7 +8,6 @@ import logging
 from pyspark.sql import SparkSession
 
 from chronolake.functions.specs import ENTITIES
-from chronolake.operators.incremental import LOOKBACK_MS
 from chronolake.session import build_session
 from chronolake.warehouse import BUCKETS, SilverTable, ensure_database, ensure_log_table, exists, recover
 
@@ -20,7 +19,6 @@ def refine_all(
     database: str,
     log_table: str,
     entities: list[str] | None = None,
-    lookback_ms: int = LOOKBACK_MS,
     buckets: int = BUCKETS,
 ) -> dict[str, dict[str, int] | None]:
     """Refine each entity in turn; the first failure ends the run. None: nothing new."""
@@ -31,7 +29,7 @@ def refine_all(
     log = spark.read.table(log_table)
     results = {}
     for name in entities or list(ENTITIES):
-        results[name] = SilverTable(database, ENTITIES[name], buckets).refine(log, lookback_ms=lookback_ms)
+        results[name] = SilverTable(database, ENTITIES[name], buckets).refine(log)
         logger.info("%s: %s", name, results[name] or "nothing new")
     return results
 
@@ -41,7 +39,6 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--database", required=True)
     parser.add_argument("--log", required=True, help="folder the ingest job writes")
     parser.add_argument("--entities", nargs="*", choices=list(ENTITIES))
-    parser.add_argument("--lookback-ms", type=int, default=LOOKBACK_MS)
     parser.add_argument("--buckets", type=int, default=BUCKETS)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
@@ -50,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     log_table = f"{args.database}.bronze_cdc_events"
     ensure_log_table(spark, log_table, args.log)
     recover(spark, log_table)
-    refine_all(spark, args.database, log_table, args.entities, args.lookback_ms, args.buckets)
+    refine_all(spark, args.database, log_table, args.entities, args.buckets)
 
 
 if __name__ == "__main__":

@@ -118,8 +118,13 @@ def apply_scd2(
 
 
 def unseen_rows(batch: DataFrame, open_rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Batch rows whose content is not already the open row of their key (a replayed batch leaves none)."""
+    """Live batch rows whose content is not the open row of their key: what a step would bring in.
+
+    Deletes have no open row to look for. After the step only events are left that it skipped as older
+    than the row, or the delete, that it found.
+    """
     staged = batch if "_hash" in batch.columns else with_row_hash(batch, spec)
+    staged = staged.where(F.col("operation") != "d")
     return staged.join(open_rows.select(KEY, "_hash"), [KEY, "_hash"], "left_anti")
 
 

@@ -37,7 +37,8 @@ DAY = "yyyy-MM-dd"
 
 
 def cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+    """Whole cents; NULL for what is no amount (NaN, infinite, beyond a bigint)."""
+    return F.round(F.col(amount) * 100).try_cast("bigint")
 
 
 def money(total_cents: Column) -> Column:

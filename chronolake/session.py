@@ -80,7 +80,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="chronolake-")
     if context.getCheckpointDir() is None:

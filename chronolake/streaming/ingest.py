@@ -23,10 +23,6 @@ LOG_PARTITIONS = ("source_table", "ingest_date")
 # Tasks that share the copies of one event where micro-batches are large (file backlogs).
 COPY_TASKS = 64
 
-# Files a micro-batch writes per log partition, at most. More than one, so that an entity with most
-# of a batch's rows is still written by several tasks.
-FILES_PER_PARTITION = 8
-
 # Dedup state on disk instead of on the heap, several open files per task instead of a sort by
 # partition, no empty batches just to clean state; set before the first stream starts.
 STREAM_CONF = {
@@ -94,8 +90,8 @@ def start_split_ingest(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             number = F.lit(batch_id).alias("_batch_id")
-            slot = F.pmod(F.xxhash64("event_id"), F.lit(FILES_PER_PARTITION))
-            good = with_ingest_date(good_events(batch)).select("*", number).repartition(*LOG_PARTITIONS, slot)
+            # One file for each partition, but several tasks and files where one has more bytes than a task.
+            good = with_ingest_date(good_events(batch)).select("*", number).hint("rebalance", *LOG_PARTITIONS)
             _overwrite(good.write.partitionBy(*LOG_PARTITIONS, "_batch_id")).parquet(log_path)
             dead = dead_letters(batch).select("*", number)
             _overwrite(dead.write.partitionBy("_batch_id")).json(dead_letter_path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.specs import KEY, ORDER, EntitySpec
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
-from chronolake.operators.incremental import LOOKBACK_MS, incremental_slice
+from chronolake.operators.incremental import consumption, unconsumed
 from chronolake.operators.scd2 import advance_fences, apply_actions, plan_actions
 
 # Columns of the raw log.
@@ -86,6 +86,7 @@ BUCKETS = 512
 
 _RUN = "chronolake.run"
 _WATERMARK = "chronolake.watermark"
+_CONSUMED = "chronolake.consumed"
 
 
 def ensure_database(spark: SparkSession, database: str) -> None:
@@ -97,15 +98,34 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def ensure_log_table(spark: SparkSession, name: str, location: str) -> None:
-    """Raw log as an external table over the ingest folder; call ``recover`` after new batches."""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl({**LOG_TYPES, **LOG_PARTITION_TYPES})}) USING parquet "
-        f"PARTITIONED BY ({', '.join(LOG_PARTITION_TYPES)}) LOCATION '{location}'"
-    )
+    """Raw log under a catalog name; call ``recover`` after new batches.
+
+    Split ingest writes a folder for each batch: an external table, partitioned by batch, too. The plain log
+    writer keeps a commit log instead: a view of the folder, which follows that log (files of failed batches
+    don't show) and its partitions. A name made for the other layout is an error, as it would show no rows.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(location)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    with_commit_log = system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_spark_metadata"))
+    if exists(spark, name):
+        if with_commit_log != _is_view(spark, name):
+            raise ValueError(f"{name} was made for the other log writer than that of {location}")
+    elif with_commit_log:
+        spark.sql(f"CREATE VIEW {name} AS SELECT * FROM parquet.`{location}`")
+    else:
+        spark.sql(
+            f"CREATE TABLE {name} ({_ddl({**LOG_TYPES, **LOG_PARTITION_TYPES})}) USING parquet "
+            f"PARTITIONED BY ({', '.join(LOG_PARTITION_TYPES)}) LOCATION '{location}'"
+        )
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "VIEW"
 
 
 def recover(spark: SparkSession, name: str) -> None:
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if not _is_view(spark, name):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def _ddl(types: Mapping[str, str]) -> str:
@@ -186,10 +206,15 @@ class SilverTable:
         types = self.spec.silver_types()
         return [c for c in types if not c.startswith("_")]
 
-    def _show(self, spark: SparkSession, run: int, watermark: int | None) -> None:
-        """Commit: show ``run``, and keep its high-water mark with it so that no run has to scan for it."""
+    def _show(self, spark: SparkSession, run: int, watermark: int | None, consumed: int | None = None) -> None:
+        """Commit: show ``run``, and keep with it what was consumed and its newest event time.
+
+        The mark of consumption decides what the next run reads; the event time is for reports only.
+        """
         columns = ", ".join(f"`{c}`" for c in self.spec.silver_types())
-        properties = f"'{_RUN}' = '{run}'" + ("" if watermark is None else f", '{_WATERMARK}' = '{watermark}'")
+        properties = f"'{_RUN}' = '{run}'" + "".join(
+            f", '{name}' = '{value}'" for name, value in ((_WATERMARK, watermark), (_CONSUMED, consumed)) if value is not None
+        )
         spark.sql(
             f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ({properties}) AS SELECT {columns} "
             f"FROM {self.versions} WHERE (_is_current AND _run_id = {run}) OR (NOT _is_current AND _run_id <= {run})"
@@ -202,9 +227,15 @@ class SilverTable:
         self,
         log: DataFrame,
         effective_at: Column | None = None,
-        lookback_ms: int = LOOKBACK_MS,
     ) -> dict[str, int] | None:
-        """One incremental step from the raw log; None when there is nothing new.
+        """One incremental step over all events that no committed run has read; None when there are none.
+
+        What is read goes by deliveries (see ``unconsumed``), never by event time: late events, events
+        without or with an absurd time, and all that follow them are read once each. A repeated read
+        would change nothing, as older events never change newer rows.
+
+        Counts in the result: keys staged, rows open, rows closed, and events without a key, which stay
+        in the raw log.
 
         The decoded batch is staged first, so the steps after it read a table instead of parsing
         the log again, and a lost executor costs little.
@@ -218,13 +249,18 @@ class SilverTable:
         for table in (self.versions, self.fences, self.staging):
             self._drop_run(spark, table, run)
 
-        events = incremental_slice(log, self.spec.name, mark, lookback_ms)
-        keyed = decode_payload(events, self.spec).where(F.col(KEY).isNotNull())
+        consumed = int(committed[_CONSUMED]) if _CONSUMED in committed else None
+        read, decoded = Observation(), Observation()
+        events = unconsumed(log, self.spec.name, consumed).withColumn("_number", consumption(log))
+        events = events.observe(read, F.max("_number").alias("consumed")).drop("_number")
+        rows = decode_payload(events, self.spec).observe(decoded, F.count_if(F.col(KEY).isNull()).alias("keyless"))
+        keyed = rows.where(F.col(KEY).isNotNull())
         staged_count = Observation()
         batch = with_row_hash(latest_per_key(keyed), self.spec).observe(staged_count, F.count(F.lit(1)).alias("rows"))
         _insert_run(batch.withColumn("_run_id", F.lit(run).cast("bigint")), self.staging)
         if staged_count.get["rows"] == 0:
             return None
+        consumed = max((n for n in (consumed, read.get["consumed"]) if n is not None), default=None)
 
         staged = spark.table(self.staging).where(F.col("_run_id") == run).drop("_run_id")
         known = spark.table(self.fences).where(F.col("_run_id") == done).drop("_run_id")
@@ -242,13 +278,18 @@ class SilverTable:
         _insert_run(fences, self.fences)
         written = counts.get
         marks = [m for m in (mark, written["watermark"]) if m is not None]
-        self._show(spark, run, max(marks, default=None))
+        self._show(spark, run, max(marks, default=None), consumed)
 
         # The run before stays for readers that still use it; everything older is unreachable.
         spark.sql(f"ALTER TABLE {self.versions} DROP IF EXISTS PARTITION (_run_id = {run - 2}, _is_current = true)")
         for table in (self.fences, self.staging):
             self._drop_run(spark, table, run - 2)
-        return {"staged": staged_count.get["rows"], "open": written["open"], "closed": written["closed"]}
+        return {
+            "staged": staged_count.get["rows"],
+            "open": written["open"],
+            "closed": written["closed"],
+            "keyless": decoded.get["keyless"],
+        }
 
     def _drop_run(self, spark: SparkSession, table: str, run: int) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_run_id = {run})")

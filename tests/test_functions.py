@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.hashing import content_hash
 from chronolake.functions.rules import Buckets, Case, RegexGroup, rule_from_config
-from chronolake.functions.specs import ENTITIES, ORDERS, PRODUCTS, USERS, EntitySpec
+from chronolake.functions.specs import ENTITIES, ORDERS, PRODUCTS, USERS, EntitySpec, from_connector_decimal
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
 
 
@@ -116,3 +116,16 @@ def test_hash_forms(spark):
 def test_row_hash_covers_derived_columns_and_live_flag(spark):
     decoded = decode_payload(log_rows(spark, [("c", None, '{"id": 1, "name": "N", "email": "n@x.y"}')]), USERS)
     assert with_row_hash(decoded, USERS).first()["_hash"] == hashlib.sha256(b"1||N||n@x.y||NULL||NULL||x.y||true").hexdigest()
+
+
+def test_numbers_that_are_no_amounts_become_null(spark):
+    spec = ENTITIES["orders"]
+    rows = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("12.5",), ("x",)], "total_amount string")
+    typed = rows.select(F.struct(*[F.col("total_amount") if c == "total_amount" else F.lit(None).cast("string").alias(c) for c in spec.columns]).alias("p"))
+    assert [r.total_amount for r in typed.select(*spec.typed("p")).collect()] == [None, None, None, 12.5, None]
+
+
+def test_connector_decimals(spark):
+    texts = [("AfvP",), ("AA==",), ("/w==",), ("gAAAAAAAAAA=",), ("f/////////8=",), ("AAAAAAAAAAAA",), ("*",), (None,)]
+    rows = spark.createDataFrame(texts, "t string").select(from_connector_decimal(F.col("t"), 2).alias("v")).collect()
+    assert [r.v for r in rows] == [1299.99, 0.0, -0.01, -(2**63) / 100, (2**63 - 1) / 100, None, None, None]

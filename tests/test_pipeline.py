@@ -1,14 +1,17 @@
 """Records in files -> raw log -> history tables -> marts, twice, through the jobs' own code."""
 
+import json
+
 import pytest
 
 from chronolake.functions.specs import ORDERS, USERS
+from chronolake.jobs import ingest, refine
 from chronolake.jobs.publish import publish_all
 from chronolake.jobs.refine import refine_all
 from chronolake.sources.files import read_record_files
 from chronolake.streaming.ingest import start_split_ingest
 from chronolake.warehouse import SilverTable, ensure_database, ensure_log_table, recover
-from shop import Feed, write_records
+from shop import START_MS, Feed, write_records
 
 
 class Shop:
@@ -159,3 +162,50 @@ def test_merge_keeps_the_stored_layout_of_open_rows(spark, shop):
 def test_marts_without_inputs_are_skipped(spark):
     ensure_database(spark, "shop_empty")
     assert set(publish_all(spark, "shop_empty").values()) == {None}
+
+
+def test_every_event_is_refined_whatever_its_time(spark, tmp_path):
+    """Late by days, undated, absurdly dated, then normal again: every id ends in silver, each read once."""
+    feed = Feed()
+    hour = 3_600_000
+    steps = [
+        [feed.record("users", "c", {"id": 1, "name": "a", "email": "a@x.y"}, ts_ms=START_MS + 100 * hour)],
+        [feed.record("users", "c", {"id": 2, "name": "b", "email": "b@x.y"}, ts_ms=START_MS + 2 * hour)],
+        [json.loads(json.dumps(feed.record("users", "c", {"id": 3, "name": "c", "email": "c@x.y"})).replace(
+            f'\\"ts_ms\\": {START_MS + 3000}', '\\"ts_ms\\": null'))],
+        [feed.record("users", "c", {"id": 4, "name": "d", "email": "d@x.y"}, ts_ms=START_MS * 1000)],
+        [feed.record("users", "c", {"id": 5, "name": "e", "email": "e@x.y"}, ts_ms=START_MS + 101 * hour)],
+    ]
+    paths = ["--log", f"{tmp_path}/log", "--dead-letters", f"{tmp_path}/dead", "--checkpoint", f"{tmp_path}/c"]
+    for number, records in enumerate(steps):
+        write_records(tmp_path / "in", f"{number}.json", records)
+        ingest.main(["--files", f"{tmp_path}/in", "--available-now", "--max-files", "3", *paths])
+        refine.main(["--database", "late_shop", "--log", f"{tmp_path}/log", "--buckets", "2", "--entities", "users"])
+    assert [r.id for r in spark.table("late_shop.silver_users").orderBy("id").collect()] == [1, 2, 3, 4, 5]
+    table = SilverTable("late_shop", USERS, 2)
+    assert table.refine(spark.table("late_shop.bronze_cdc_events")) is None
+
+
+def test_both_log_layouts_can_be_refined(spark, tmp_path):
+    """The plain log writer has no batch folders; a table of the wrong layout is an error, not empty."""
+    from chronolake.operators.envelope import good_events, parse_envelope, classify
+    from chronolake.sources.files import read_record_files
+    from chronolake.streaming.ingest import start_log_writer
+    from chronolake.warehouse import ensure_log_table, recover
+
+    feed, log = Feed(), f"{tmp_path}/log"
+    for number, offset in enumerate((0, 1)):
+        write_records(tmp_path / "in", f"{number}.json", [feed.record("users", "c", {"id": offset, "name": "n", "email": "e@x.y"})])
+        good = good_events(classify(parse_envelope(read_record_files(spark, f"{tmp_path}/in"))))
+        start_log_writer(good, log, f"{tmp_path}/c", interval=None).awaitTermination()
+        ensure_database(spark, "plain_shop")
+        ensure_log_table(spark, "plain_shop.log", log)
+        recover(spark, "plain_shop.log")
+        assert SilverTable("plain_shop", USERS, 2).refine(spark.table("plain_shop.log"))["staged"] == 1
+    assert spark.table("plain_shop.silver_users").count() == 2
+    wrong = f"{tmp_path}/other"
+    spark.range(1).selectExpr("'users' AS source_table", "current_date() AS ingest_date", "0L AS _batch_id", "'t' AS topic").write.partitionBy(
+        "source_table", "ingest_date", "_batch_id"
+    ).parquet(wrong)
+    with pytest.raises(ValueError):
+        ensure_log_table(spark, "plain_shop.log", wrong)

