@@ -5,8 +5,9 @@ A document is the set of its five-word shingles; two are linked from a Jaccard s
 1. Every set gets a sketch of minhash tokens; documents of equal sets become one node with a count.
 2. Chosen paths: each of RUNS runs splits all nodes on one sampled token of their sketches. A bucket of at
    most LEAF nodes is compared by brute force (on sketches). In a larger one, nodes close to its hub leave
-   it, tied to the hub, and the others are split again on two more sampled tokens. A linked pair shares a
-   token with a probability of 0.8 or more, so all runs miss it with 0.2 ** RUNS (4e-9).
+   it, tied to the hub, and the others are split again on 1 / 0.8 sampled tokens on average. A linked pair
+   shares a token with a probability of 0.8 or more, so all runs miss it with 0.2 ** RUNS (4e-9) where one
+   split is enough, and with about 0.5 ** RUNS (2e-4) in buckets that are split three times.
 3. The candidate edges are a spanning forest of each bucket, linear in its size; their components hold every
    link. Within each component all pairs are then compared exactly, on whole shingle sets and in blocks:
    tasks give sums and spanning edges of the links, never the pairs.
@@ -33,7 +34,7 @@ from chronolake.session import stored
 SHINGLE = 5
 TOKENS = 64  # of a sketch
 RUNS = 12
-LEAF = 256  # nodes of a bucket that is compared by brute force
+LEAF = 512  # nodes of a bucket that is compared by brute force
 BLOCK = 128  # nodes of a block; a task compares two
 DEPTH = 8  # splits before a bucket is dealt in blocks of pairs
 # Similarities estimated from sketches (deviation 0.05 at 0.8). A node is done in a bucket if it is so close
@@ -141,51 +142,53 @@ def _dealt(rows: DataFrame, size: Column, node: Column, most: int) -> DataFrame:
     return rows.withColumn("block", F.col("_own")).drop("_own", "_other")
 
 
+def _children(path: Column, mins: Column) -> Column:
+    """Paths of one sampled token, and in one of four buckets of a second: 1 / 0.8 tokens expected."""
+    token = [F.pmod(F.xxhash64(path, F.lit(i)), F.lit(TOKENS)).cast("int") + 1 for i in (1, 2)]
+    paths = [F.xxhash64(path, t, F.element_at(mins, t)) for t in token]
+    second = F.when(F.pmod(F.xxhash64(path, F.lit(3)), F.lit(4)) == 0, paths[1])
+    return F.array_distinct(F.array_compact(F.array(paths[0], second)))
+
+
 def _candidate_edges(nodes: DataFrame) -> DataFrame:
     """Edges whose components hold every link, from chosen paths over the nodes (node, mins)."""
     sketches = nodes.select("node", "mins")
+    own = sketches.withColumnRenamed("node", "s_node")
+    narrow = max(8, nodes.count() * RUNS // 1_000_000)  # files of tables with a row for each bucket
     first = [F.xxhash64(F.lit(run), F.element_at("mins", run * (TOKENS // RUNS) + 1)) for run in range(RUNS)]
-    level = stored(sketches.select("node", F.explode(F.array(*first)).alias("path")), "paths")
+    level = sketches.select("node", F.explode(F.array(*first)).alias("path"))
     leaves, edges = [], []
     for depth in range(DEPTH + 1):
-        # Buckets of the same nodes (equal count and checksum) are compared once.
         sizes = level.groupBy("path").agg(
             F.count(F.lit(1)).alias("size"),
             F.bit_xor(F.xxhash64("node")).alias("mark"),
             F.min(F.xxhash64("node", "path")).alias("hub"),
         )
-        sizes = stored(sizes.where("size > 1"), "bucket-sizes")
-        once = sizes.groupBy("size", "mark").agg(F.min("path").alias("p"))
-        once = once.where("size > 1") if depth == DEPTH else once.where(F.col("size") <= LEAF)
-        once = stored(once.select("p", "size"), "leaf-paths")
-        leaves.append(level.join(once, F.col("path") == F.col("p")).select("node", "path", "size"))
-        large = sizes.where(F.col("size") > LEAF)
+        sizes = stored(sizes.where("size > 1").coalesce(narrow), "bucket-sizes")
+        # Buckets of the same nodes (equal count and checksum) are compared once.
+        once = sizes if depth == DEPTH else sizes.where(F.col("size") <= LEAF)
+        once = once.groupBy("size", "mark").agg(F.min("path").alias("p"))
+        leaf_rows = level.join(once.hint("merge"), F.col("path") == F.col("p"))
+        leaves.append(leaf_rows.select("node", "path", "size"))
+        large = sizes.where(F.col("size") > LEAF).select(F.col("path").alias("p"), "hub")
         if depth == DEPTH or large.isEmpty():
             break
-        large = stored(large.select(F.col("path").alias("p"), "hub"), "large-buckets")
-        inside = level.join(large, F.col("path") == F.col("p")).select("node", "path", "hub")
-        own = sketches.withColumnRenamed("node", "s_node")
-        inside = stored(inside.join(own, F.col("node") == F.col("s_node")).drop("s_node"), "large-rows")
+        inside = level.join(large.hint("merge"), F.col("path") == F.col("p")).select("node", "path", "hub")
+        inside = inside.join(own.hint("merge"), F.col("node") == F.col("s_node")).drop("s_node")
+        inside = stored(inside, "large-rows")
         hubs = inside.where(F.xxhash64("node", "path") == F.col("hub"))
-        hubs = stored(hubs.select(F.col("path").alias("p"), F.col("node").alias("h"), F.col("mins").alias("hm")), "hubs")
+        hubs = hubs.select(F.col("path").alias("p"), F.col("node").alias("h"), F.col("mins").alias("hm"))
         equal = F.aggregate(
             F.zip_with("mins", "hm", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
         )
-        near = stored(
-            inside.join(hubs, F.col("path") == F.col("p"))
-            .select("node", "path", "h", "mins", (equal / TOKENS).alias("like")),
-            "hub-likeness",
-        )
+        near = inside.join(hubs.hint("merge"), F.col("path") == F.col("p"))
+        near = stored(near.select("node", "path", "h", "mins", (equal / TOKENS).alias("like")), "hub-likeness")
         edges.append(near.where((F.col("like") >= FAR) & (F.col("node") != F.col("h"))).select("h", "node"))
-        token = [F.pmod(F.xxhash64("path", F.lit(child)), F.lit(TOKENS)).cast("int") + 1 for child in (1, 2)]
-        children = F.array(*[F.xxhash64("path", t, F.element_at("mins", t)) for t in token])
-        level = stored(
-            near.where(F.col("like") < CLOSE).select("node", F.explode(F.array_distinct(children)).alias("path")),
-            "paths",
-        )
+        level = near.where(F.col("like") < CLOSE)
+        level = level.select("node", F.explode(_children(F.col("path"), F.col("mins"))).alias("path"))
+        level = stored(level, "paths")
     rows = functools.reduce(DataFrame.unionByName, leaves)
-    own = sketches.withColumnRenamed("node", "s_node")
-    rows = rows.join(own, F.col("node") == F.col("s_node")).select("node", "path", "size", "mins")
+    rows = rows.join(own.hint("merge"), F.col("node") == F.col("s_node")).select("node", "path", "size", "mins")
     rows = _dealt(rows, F.col("size"), F.col("node"), LEAF).select("path", "i", "j", "node", "mins")
     rows = rows.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
     compared = rows.mapInPandas(_leaf_edges, "a long, b long")
@@ -270,14 +273,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         F.any_value("mins").alias("mins"),
     )
     nodes = stored(nodes, "nodes")
-    candidate = components(_candidate_edges(nodes)).withColumnsRenamed({"node": "c_node"})
+    candidate = stored(components(_candidate_edges(nodes)).withColumnsRenamed({"node": "c_node"}), "components")
     sizes = stored(candidate.groupBy(F.col("root").alias("s_root")).agg(F.count(F.lit(1)).alias("size")), "comp-sizes")
-    placed = candidate.join(sizes, F.col("root") == F.col("s_root")).drop("s_root")
-    placed = stored(placed, "placed")
-    inside = nodes.drop("mins").join(placed, F.col("node") == F.col("c_node"))
-    inside = stored(inside.select("s1", "s2", "node", "first_key", "copies", "root", "size"), "candidates")
+    placed = candidate.join(sizes.hint("merge"), F.col("root") == F.col("s_root")).drop("s_root")
+    inside = nodes.drop("mins").join(placed.hint("merge"), F.col("node") == F.col("c_node"))
+    inside = inside.select("s1", "s2", "node", "first_key", "copies", "root", "size")
     # One text for each node. Where several rows share its id, the signature finds the right one.
-    whole = texts.join(inside, F.col("key").eqNullSafe(F.col("first_key")))
+    whole = texts.join(inside.hint("merge"), F.col("key").eqNullSafe(F.col("first_key")))
     whole = whole.select("text", "s1", "s2", "node", "copies", "root", "size")
     whole = whole.mapInPandas(
         _sets, "s1 long, s2 long, node long, copies long, root long, size long, shingles binary"
@@ -288,7 +290,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     compared = stored(dealt.mapInPandas(_links, "a long, b long, links long"), "links")
     links = compared.where("b IS NULL").groupBy(F.col("a").alias("l_node")).agg(F.sum("links").alias("links"))
     roots = components(compared.where("b IS NOT NULL").select("a", "b"))
-    roots = stored(roots.withColumnsRenamed({"node": "r_node", "root": "r_root"}), "classes")
+    roots = roots.withColumnsRenamed({"node": "r_node", "root": "r_root"})
     known = nodes.select("s1", "s2", "node", "first_key", "copies")
     known = known.join(links, F.col("node") == F.col("l_node"), "left")
     known = known.join(roots, F.col("node") == F.col("r_node"), "left")
@@ -304,7 +306,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     known = stored(known, "known")
-    found = sketched.join(known, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & (F.col("n") > 0), "left")
+    found = sketched.drop("mins").join(known.hint("merge"), (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & (F.col("n") > 0), "left")
     return found.select(
         F.col("key").alias(key),
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
