@@ -11,8 +11,8 @@ every number of words to the left, the suffixes so lengthened are sorted and com
 neighbours again; equal ones over PASSAGE words are a repeat. That finds the longest extension to both
 sides against all partners, not only against the neighbour with the longest common prefix.
 
-A run that is in very many texts would fill one task. Such runs are counted first; their passages are
-compared as fingerprints of whole passages, counted before the shuffle.
+A run that is in very many texts would fill one task. Such runs are counted first; their suffixes are
+compared by fingerprints, first of all their words, then of single passages, and counted before the shuffle.
 """
 
 from __future__ import annotations
@@ -92,21 +92,26 @@ def _suffixes(hot: np.ndarray):
 
 
 def _hot_passages(hot: np.ndarray):
-    """Rows (print, key, start) of all passages whose minimiser is a hot run."""
+    """Rows (whole, key, start, prints) of hot suffixes: fingerprints of all their words, and of each passage."""
 
     def run(batches):
         for batch in batches:
-            found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+            columns: list[list] = [[], [], [], []]
             for key, text in zip(batch["key"], batch["text"]):
                 words = word_hashes(text)
                 runs, least = minimisers(words)
-                if len(least):
-                    start = np.flatnonzero(np.isin(runs[least].view(np.int64), hot))
-                    if len(start):
-                        found[0].append(rolled(words, PASSAGE)[start].view(np.int64))
-                        found[1].append(np.full(len(start), key))
-                        found[2].append(start)
-            yield pd.DataFrame(dict(zip(("print", "key", "start"), map(np.concatenate, found))))
+                if not len(least):
+                    continue
+                at, first = np.unique(least, return_index=True)
+                last = np.append(first[1:], len(least))
+                prints = rolled(words, PASSAGE).view(np.int64)
+                for i in np.flatnonzero(np.isin(runs[at].view(np.int64), hot)).tolist():
+                    own = prints[first[i] : last[i]]
+                    columns[0].append(int(mix(rolled(own.view(np.uint64), len(own)) + np.uint64(len(own))).view(np.int64)[0]))
+                    columns[1].append(key)
+                    columns[2].append(int(first[i]))
+                    columns[3].append(own)
+            yield pd.DataFrame(dict(zip(("whole", "key", "start", "prints"), columns)))
 
     return run
 
@@ -183,14 +188,38 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _spans_of(rest)
 
 
+def _hot_spans(texts: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Spans that hot suffixes share.
+
+    Suffixes that agree in all their words (copies, one passage in many texts) are settled as a whole. Passage
+    by passage go only the others, and of each settled group the text with the smallest id.
+    """
+    schema = "whole long, key long, start long, prints array<long>"
+    rows = stored(texts.mapInPandas(_hot_passages(hot), schema), "hot-passages")
+    least = [F.min("key").alias("first"), F.max("key").alias("last")]
+    groups = rows.groupBy(F.col("whole").alias("g")).agg(*least).where(F.col("first") < F.col("last"))
+    groups = stored(groups, "hot-groups")
+    rows = stored(rows.join(groups.hint("merge"), F.col("whole") == F.col("g"), "left"), "hot-settled")
+    length = F.size("prints")
+    settled = rows.where(F.col("first").isNotNull())
+    settled = settled.select("key", "start", (F.col("start") + length + PASSAGE - 1).alias("end"), "first")
+    others = rows.where(F.col("first").isNull() | (F.col("key") == F.col("first")))
+    prints = others.select("key", "start", F.posexplode("prints").alias("i", "print"))
+    prints = prints.select("key", (F.col("start") + F.col("i")).alias("start"), "print")
+    shared = prints.groupBy(F.col("print").alias("s_print")).agg(*least).where(F.col("first") < F.col("last"))
+    shared = stored(shared, "hot-shared")
+    prints = prints.join(shared.hint("merge"), F.col("print") == F.col("s_print"))
+    return settled.unionByName(prints.select("key", "start", (F.col("start") + PASSAGE).alias("end"), "first"))
+
+
 def repeated_passages(
     docs: DataFrame, text: str = "text", key: str = "doc_id", max_suffixes: int = MAX_SUFFIXES
 ) -> DataFrame:
     """The parts of texts that also occur in other texts, as passages of PASSAGE words or more.
 
     Returns one row for each maximal part of a text that such passages cover: ``key`` (long), ``start_word``
-    and ``end_word`` (end exclusive; words count from 0), ``first_id``: the smallest id of the texts that
-    share a passage of it. The part is a repeat to remove where that isn't the row's own id.
+    and ``end_word`` (end exclusive; words count from 0), ``first_id``: a text with a smaller id that shares
+    a passage of it, or the own id if there is none. The part is a repeat to remove where they differ.
 
     Words are runs of anything but ASCII white space, A-Z in lower case. A passage that only one text
     holds, even several times, is no repeat; nor are rows of the same id, which count as one text. Rows
@@ -214,13 +243,7 @@ def repeated_passages(
     rows = rows.repartition("run").sortWithinPartitions("run", "right", "left", "key")
     spans = rows.mapInPandas(_compared, "key long, start long, end long, first long")
     if len(hot):
-        prints = stored(texts.mapInPandas(_hot_passages(hot), "print long, key long, start long"), "hot-passages")
-        shared = prints.groupBy(F.col("print").alias("s_print")).agg(
-            F.min("key").alias("first"), F.max("key").alias("last")
-        )
-        shared = stored(shared.where(F.col("first") < F.col("last")), "hot-shared")
-        prints = prints.join(shared, F.col("print") == F.col("s_print"))
-        spans = spans.unionByName(prints.select("key", "start", (F.col("start") + PASSAGE).alias("end"), "first"))
+        spans = spans.unionByName(_hot_spans(texts, hot))
     by_text = Window.partitionBy("key").orderBy("start", F.col("end").desc())
     reached = F.max("end").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("new", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int"))
