@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.mixing import mix, mixed_rows
-from chronolake.llm.packing import best_fit, pack, vocabulary_path
+from chronolake.llm.packing import Encoder, best_fit, pack, tokenizer_files, vocabulary_path
 
 
 def lowered(text):
@@ -113,6 +114,18 @@ def test_best_fit_counts():
     assert sorted(used.values(), reverse=True)[:4] == [2048, 2048, 2048, 2048]
 
 
+def test_both_libraries_give_the_same_ids():
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(vocabulary_path())
+    exact.encode_special_tokens = True
+    encoder = Encoder(*tokenizer_files())
+    latin = [chr(c) for c in (*b"\t\n\r", *range(0x20, 0x7F), *range(0xA1, 0x250))]
+    texts = ["".join(random.Random(i).choices(latin, k=200)) for i in range(200)]
+    texts += ["", " ", "\r\n \n", "<|endoftext|> it's We'LL", "a\u00a0b\u2003c", "\x1c\x85 x", "\u4f60\u597d \u0661 \U0001f642"]
+    assert all(encoder.ids(t) == exact.encode(t, add_special_tokens=False).ids for t in texts)
+
+
 def test_pack(spark, awkward):
     from tokenizers import Tokenizer
 
