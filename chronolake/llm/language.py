@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolake.llm.text import crc_remainder, text_of
+from chronolake.llm.text import crc_remainder, hash_sample, text_of
 from chronolake.session import stored
 
 FOLDS = 5
@@ -121,14 +121,14 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         F.col(f"`{lang}`").cast("string").alias("lang"),
         text_of(F.col(f"`{text}`")).alias("text"),
     ).where(F.col("lang").isNotNull() & (crc_remainder(F.col("key"), FOLDS) != 0) & F.col("text").rlike(r"\p{L}"))
-    # Ids first, so that no texts are sorted; a rank limit keeps few rows of each task before the shuffle.
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    ids = known.select("lang", "key").withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= PER_LANGUAGE)
+    # Ids first, so that no texts are sorted.
+    ids = hash_sample(known.select("lang", "key"), "lang", "key", PER_LANGUAGE)
     ids = F.broadcast(stored(ids.select(F.col("key").alias("s_key")).distinct(), "lang-ids"))
     sample = known.join(ids, F.col("key") == F.col("s_key")).select("lang", "text")
     pieces = sample.mapInPandas(_cut, "lang string, piece string")
-    some = Window.partitionBy("lang").orderBy(F.xxhash64("piece"), "piece")
-    chosen = pieces.withColumn("n", F.row_number().over(some)).where(F.col("n") <= WINDOWS)
+    chosen = hash_sample(stored(pieces, "lang-pieces"), "lang", "piece", WINDOWS)
+    in_order = Window.partitionBy("lang").orderBy(F.xxhash64("piece"), "piece")
+    chosen = chosen.withColumn("n", F.row_number().over(in_order))
     rows = sorted((r["lang"], r["n"], r["piece"]) for r in chosen.collect())
     if not rows:
         return Model((), None)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: a word is a longest run of anything but the six ASCII white-space characters.
@@ -40,3 +40,16 @@ def crc_remainder(key: Column, parts: int) -> Column:
 def packed(rows: DataFrame) -> Column:
     """Every column of a table as one struct, so that helper columns can't clash with any of them."""
     return F.struct(*[rows[f"`{name}`"] for name in rows.columns])
+
+
+def hash_sample(rows: DataFrame, by: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows for each value of ``by``: the first in the order of a hash of ``key``.
+
+    Every value's rows are counted, and only hashes below a bound that keeps about three times the wanted
+    number go on to be ranked: the ranking task of a value stays small however many rows there are.
+    """
+    counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_rows"))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    few = rows.join(counts, F.col(by).eqNullSafe(F.col("_by"))).where(place * F.col("_rows") < 3 * most + 50)
+    ranked = Window.partitionBy(by).orderBy(F.xxhash64(key), key)
+    return few.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= most).drop("_n", "_by", "_rows")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolake.llm.text import crc_remainder, packed, text_of
+from chronolake.llm.text import crc_remainder, hash_sample, packed, text_of
 from chronolake.session import stored
 
 MAX_TOXIC, MAX_CLEAN = 2000, 6000  # labelled rows to learn from
@@ -170,10 +170,10 @@ def _sample(docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFram
     known = known.where(F.col("l_key").isNotNull() & F.col("toxic").isin(0, 1))
     known = known.where(crc_remainder(F.col("l_key"), FOLDS) != 0)
     known = known.groupBy("l_key").agg(F.max("toxic").alias("toxic"))
-    order = [F.xxhash64("l_key"), F.col("l_key")]
+    known = stored(known, "toxic-known")
     chosen = None
     for value, most in ((1, MAX_TOXIC), (0, MAX_CLEAN)):
-        part = known.where(F.col("toxic") == value).orderBy(*order).limit(most)
+        part = hash_sample(known.where(F.col("toxic") == value), "toxic", "l_key", most)
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = F.broadcast(stored(chosen, "toxic-labels"))  # at most MAX_TOXIC + MAX_CLEAN rows
     rows = docs.select(F.col(f"`{key}`").alias("key"), text_of(F.col(f"`{text}`")).alias("text"))
