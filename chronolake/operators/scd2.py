@@ -133,22 +133,45 @@ def empty_silver(spark, spec: EntitySpec) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
+def merge_staging(planned: DataFrame, spec: EntitySpec, effective_at: Column) -> DataFrame:
+    """Planned actions as the source of ``merge_statement``: ``_merge_key``, ``_action``, the new row's columns.
+
+    A replaced row needs two source rows: one with its key, which closes the old version, and one without,
+    which inserts the new one. Skipped and untouched keys are left out.
+    """
+    parts = F.when(F.col("action") == REPLACE, F.array(F.lit(CLOSE_ROW), F.lit(INSERT)))
+    acting = planned.where(F.col("action").isin(TOUCH, INSERT, CLOSE_ROW, REPLACE))
+    acting = acting.withColumn("_action", F.explode(parts.otherwise(F.array("action"))))
+    values = {
+        "_valid_from": effective_at,
+        "_valid_to": F.lit(None),
+        "_is_current": F.lit(True),
+        "is_active": F.col("s.operation") != "d",
+        "_cdc_order_lsn": F.col("s.pg_lsn"),
+        **{c: F.col(f"s.{o}") for c, o in zip(CLOSE, ORDER)},
+    }
+    return acting.select(
+        F.when(F.col("_action") != INSERT, F.col(KEY)).alias("_merge_key"),
+        "_action",
+        *[values.get(c, F.col(f"s.{c}")).cast(t).alias(c) for c, t in spec.silver_types().items()],
+    )
+
+
 def merge_statement(target: str, staging: str, spec: EntitySpec) -> str:
-    """The close/insert half of the step as MERGE text, for catalogs whose tables support MERGE.
+    """The step as MERGE text, for catalogs whose tables support MERGE; ``staging`` holds ``merge_staging``.
 
-    New versions of replaced keys need a second row per key; stage them with a NULL ``_merge_key``
-    (other rows carry their id there), so that one statement closes the old row and adds the new.
+    All rules are decided by ``plan_actions`` before: the text only carries the actions out.
     """
-    columns = [c for c in spec.silver_types()]
+    columns = [c for c in spec.silver_types() if c not in CLOSE]
     names = ", ".join(f"`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
-    closing = ", ".join(f"t.{c} = s.{o}" for c, o in zip(CLOSE, ORDER))
-    newer = f"struct({', '.join('s.' + c for c in ORDER)}) > struct({', '.join('t.' + c for c in ORDER)})"
+    closing = ", ".join(f"t.{c} = s.{c}" for c in CLOSE)
+    touching = ", ".join(f"t.`{c}` = s.`{c}`" for c in _TOUCHED)
     return f"""MERGE INTO {target} AS t USING {staging} AS s
-ON t.id = s._merge_key AND t._is_current
-WHEN MATCHED AND s.operation = 'd' AND {newer} THEN
-  UPDATE SET t.is_active = false, t._valid_to = s._valid_from, t._is_current = false, {closing}
-WHEN MATCHED AND s._hash <> t._hash AND {newer} THEN
-  UPDATE SET t._valid_to = s._valid_from, t._is_current = false, {closing}
-WHEN NOT MATCHED AND s.operation <> 'd' THEN
+ON t.{KEY} = s._merge_key AND t._is_current
+WHEN MATCHED AND s._action = '{TOUCH}' THEN
+  UPDATE SET {touching}
+WHEN MATCHED AND s._action = '{CLOSE_ROW}' THEN
+  UPDATE SET t.is_active = t.is_active AND s.is_active, t._valid_to = s._valid_from, t._is_current = false, {closing}
+WHEN NOT MATCHED AND s._action = '{INSERT}' THEN
   INSERT ({names}) VALUES ({values})"""

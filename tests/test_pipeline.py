@@ -209,3 +209,19 @@ def test_both_log_layouts_can_be_refined(spark, tmp_path):
     ).parquet(wrong)
     with pytest.raises(ValueError):
         ensure_log_table(spark, "plain_shop.log", wrong)
+
+
+def test_quality_job_reports_and_fails(spark, shop):
+    from chronolake.jobs import check
+
+    lost = ("orders", "orphans", "user_id")
+    before = check.check_all(spark, shop.database).get(lost, 0)  # orders of users that were deleted
+    found = {(r.table_name, r.check_name, r.subject): r.found for r in spark.table(f"{shop.database}.quality_report").collect()}
+    assert found["users", "nulls", "created_at"] > 0 and found[lost] == before
+    write_records(shop.folder / "in", "9.json", [shop.feed.record("orders", "c", {"id": 77, "user_id": 1234, "product_id": 1})])
+    shop.ingest()
+    shop.refine()
+    assert check.check_all(spark, shop.database) == {lost: before + 1}
+    with pytest.raises(SystemExit):
+        check.main(["--database", shop.database, "--fail"])
+    assert check.check_all(spark, "no_such_shop") == {}

@@ -14,6 +14,7 @@ from chronolake.operators.scd2 import (
     apply_scd2,
     empty_silver,
     fences,
+    merge_staging,
     merge_statement,
     plan_actions,
     unseen_rows,
@@ -124,13 +125,36 @@ def test_replayed_batch_has_no_unseen_rows(spark):
     assert [r["id"] for r in unseen_rows(changed, open_rows, STATUS).collect()] == [1]
 
 
-def test_merge_statement_is_valid_sql_and_lists_every_column(spark):
+def test_merge_statement_is_valid_sql_and_inserts_every_open_column(spark):
     text = merge_statement("silver", "staging", STATUS)
     assert "MergeIntoTable" in spark._jsparkSession.sessionState().sqlParser().parsePlan(text).getClass().getName()
-    assert all(f"`{c}`" in text for c in STATUS.silver_types())
+    assert all(f"`{c}`" in text for c in STATUS.silver_types() if not c.startswith("_close"))
     assert text.count("WHEN MATCHED") == 2 and text.count("WHEN NOT MATCHED") == 1
 
 
+def test_merge_actions_give_what_the_step_gives(spark):
+    """The statement's clauses carried out row by row, old events and a create after a delete included."""
+    first = latest_per_key(decoded(spark, [event(i, "c", i, "a") for i in range(1, 6)] + [event(6, "d", 9)]))
+    stamp = [F.timestamp_millis(F.lit(START + n)) for n in (1, 2)]
+    before = apply_scd2(empty_silver(spark, STATUS), first, STATUS, stamp[0])
+    known = advance_fences(None, first)
+    news = [event(1, "d", 21), event(2, "u", 22, "b"), event(3, "u", 23, "a"), event(4, "u", 1, "z"), event(6, "c", 7, "x"), event(7, "c", 24, "n")]
+    batch = latest_per_key(decoded(spark, news))
+    table = [r.asDict() for r in before.collect()]
+    for s in merge_staging(plan_actions(before, batch, STATUS, known), STATUS, stamp[1]).collect():
+        matches = [t for t in table if t["id"] == s["_merge_key"] and t["_is_current"]]
+        for t in matches:
+            if s["_action"] == "TOUCH":
+                t.update({c: s[c] for c in ("source_ts_ms", "processed_at", "kafka_partition", "kafka_offset", "pg_lsn", "_cdc_order_lsn") if c in t})
+            elif s["_action"] == "CLOSE":
+                t.update(is_active=t["is_active"] and s["is_active"], _valid_to=s["_valid_from"], _is_current=False)
+                t.update({c: s[c] for c in s.asDict() if c.startswith("_close")})
+        if not matches and s["_action"] == "INSERT":
+            table.append({c: None if c.startswith("_close") else s[c] for c in table[0]})
+    expected = [r.asDict() for r in apply_scd2(before, batch, STATUS, stamp[1], known).collect()]
+    assert sorted(map(str, (sorted(r.items()) for r in table))) == sorted(map(str, (sorted(r.items()) for r in expected)))
+
+
 def test_events_without_a_log_position_are_ordered_by_time(spark):
     def unplaced(op, ts_ms, status=None):
         return {"id": 1, "status": status, "op": op, "ts_ms": ts_ms, "lsn": None, "offset": ts_ms}
