@@ -5,9 +5,10 @@ A document is the set of its five-word shingles; two are linked from a Jaccard s
 1. Every set gets a sketch of minhash tokens; documents of equal sets become one node with a count.
 2. Chosen paths: each of RUNS runs splits all nodes on one sampled token of their sketches. A bucket of at
    most LEAF nodes is compared by brute force (on sketches). In a larger one, nodes close to its hub leave
-   it, tied to the hub, and the others are split again on 1 / 0.8 sampled tokens on average. A linked pair
-   shares a token with a probability of 0.8 or more, so all runs miss it with 0.2 ** RUNS (4e-9) where one
-   split is enough, and with about 0.5 ** RUNS (2e-4) in buckets that are split three times.
+   it, tied to the hub, and the others are split again on two more sampled tokens. A linked pair shares a
+   token with a probability of 0.8 or more, so one split misses it with 0.2 ** RUNS (4e-9), and any number
+   of splits with less than 0.25 ** RUNS (6e-8): of two tokens, both fail with (0.2 + 0.8 * m) ** 2 = m at
+   most. Sketches that agree in less than CANDIDATE although the pair is linked come on top (README).
 3. The candidate edges are a spanning forest of each bucket, linear in its size; their components hold every
    link. Within each component all pairs are then compared exactly, on whole shingle sets and in blocks:
    tasks give sums and spanning edges of the links, never the pairs.
@@ -143,11 +144,10 @@ def _dealt(rows: DataFrame, size: Column, node: Column, most: int) -> DataFrame:
 
 
 def _children(path: Column, mins: Column) -> Column:
-    """Paths of one sampled token, and in one of four buckets of a second: 1 / 0.8 tokens expected."""
-    token = [F.pmod(F.xxhash64(path, F.lit(i)), F.lit(TOKENS)).cast("int") + 1 for i in (1, 2)]
-    paths = [F.xxhash64(path, t, F.element_at(mins, t)) for t in token]
-    second = F.when(F.pmod(F.xxhash64(path, F.lit(3)), F.lit(4)) == 0, paths[1])
-    return F.array_distinct(F.array_compact(F.array(paths[0], second)))
+    """Paths of two different sampled tokens: with fewer, pairs would be lost with the depth of the splits."""
+    first = F.pmod(F.xxhash64(path, F.lit(1)), F.lit(TOKENS)).cast("int")
+    second = F.pmod(first + 1 + F.pmod(F.xxhash64(path, F.lit(2)), F.lit(TOKENS - 1)).cast("int"), F.lit(TOKENS))
+    return F.array(*[F.xxhash64(path, t + 1, F.element_at(mins, t + 1)) for t in (first, second)])
 
 
 def _candidate_edges(nodes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chronolake.llm import near_dups
 from chronolake.llm.components import components
@@ -76,6 +77,17 @@ def test_near_duplicates(spark, monkeypatch, leaf):
     assert classes_of(near_duplicates(frame)) == expected_classes(rows)
 
 
+def test_every_split_takes_two_tokens(spark):
+    """A pair that shares 4 tokens of 5 is missed by a split with 0.04, not 0.16, so depth doesn't add up."""
+    mins = F.transform(F.sequence(F.lit(1), F.lit(near_dups.TOKENS)), lambda i: i)
+    other = F.transform(mins, lambda i: F.when(i % 5 == 0, -i).otherwise(i))
+    paths = spark.range(4000).select(F.xxhash64("id").alias("path"))
+    both = paths.select(near_dups._children(F.col("path"), mins).alias("x"), near_dups._children(F.col("path"), other).alias("y"))
+    found = both.select(F.size(F.array_distinct("x")).alias("n"), F.arrays_overlap("x", "y").alias("met")).collect()
+    assert {r.n for r in found} == {2}
+    assert sum(not r.met for r in found) < 0.07 * len(found)
+
+
 def test_one_of_each_class_stays(spark, awkward):
     kept = without_near_duplicates(awkward.where("doc_id >= 8"))
     assert sorted(r.doc_id for r in kept.collect()) == [8, 10, 11, 14]
