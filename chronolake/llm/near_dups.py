@@ -56,7 +56,7 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             s2.append(b)
             n.append(len(own))
             mins.append(_tokens(own))
-        yield pd.DataFrame({"key": batch["key"], "s1": s1, "s2": s2, "n": n, "mins": mins})
+        yield pd.DataFrame({"row": batch["row"], "key": batch["key"], "s1": s1, "s2": s2, "n": n, "mins": mins})
 
 
 def _signature(own: np.ndarray) -> tuple[int, int]:
@@ -201,11 +201,8 @@ def _candidate_edges(nodes: DataFrame) -> DataFrame:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        own = [shingles(t, SHINGLE) for t in batch["text"]]
-        signs = [_signature(s) for s in own]
-        good = [(a, b) == sign for a, b, sign in zip(batch["s1"], batch["s2"], signs)]
-        batch = batch.drop(columns="text").assign(shingles=[s.tobytes() for s in own])
-        yield batch[good]
+        own = [shingles(t, SHINGLE).tobytes() for t in batch["text"]]
+        yield batch.drop(columns="text").assign(shingles=own)
 
 
 def _shared(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
@@ -263,12 +260,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     without links. Rows without an id take part; a class of such rows only has no id. Repeated rows count
     as copies. An empty table gives an empty result, other columns are ignored whatever their names.
     """
-    kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    sketched = texts.mapInPandas(_sketched, f"key {kind}, s1 long, s2 long, n long, mins array<int>")
+    found = _classes(_numbered(texts, "texts"))
+    return found.select(F.col("key").alias(key), "class_id", "n_links", "n_copies", "n_shingles")
+
+
+def _numbered(rows: DataFrame, label: str) -> DataFrame:
+    """Add ``row``, a stored number: ids may be null or repeated, and name no row."""
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), label)
+
+
+def _classes(texts: DataFrame) -> DataFrame:
+    """near_duplicates() for stored rows (row, key, text), with ``row``."""
+    kind = texts.schema["key"].dataType.simpleString()
+    sketched = texts.select("row", "key", "text")
+    sketched = sketched.mapInPandas(_sketched, f"row long, key {kind}, s1 long, s2 long, n long, mins array<int>")
     sketched = stored(sketched.withColumn("node", _node(F.col("s1"), F.col("s2"))), "sketches")
     nodes = sketched.where("n > 0").groupBy("s1", "s2", "node").agg(
         F.min("key").alias("first_key"),
+        F.min("row").alias("first_row"),
         F.count(F.lit(1)).alias("copies"),
         F.any_value("mins").alias("mins"),
     )
@@ -277,13 +287,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sizes = stored(candidate.groupBy(F.col("root").alias("s_root")).agg(F.count(F.lit(1)).alias("size")), "comp-sizes")
     placed = candidate.join(sizes.hint("merge"), F.col("root") == F.col("s_root")).drop("s_root")
     inside = nodes.drop("mins").join(placed.hint("merge"), F.col("node") == F.col("c_node"))
-    inside = inside.select("s1", "s2", "node", "first_key", "copies", "root", "size")
-    # One text for each node. Where several rows share its id, the signature finds the right one.
-    whole = texts.join(inside.hint("merge"), F.col("key").eqNullSafe(F.col("first_key")))
-    whole = whole.select("text", "s1", "s2", "node", "copies", "root", "size")
-    whole = whole.mapInPandas(
-        _sets, "s1 long, s2 long, node long, copies long, root long, size long, shingles binary"
-    )
+    inside = inside.select("node", "first_row", "copies", "root", "size")
+    # One text for each node.
+    whole = texts.select("row", "text").join(inside.hint("merge"), F.col("row") == F.col("first_row"))
+    whole = whole.select("text", "node", "copies", "root", "size")
+    whole = whole.mapInPandas(_sets, "node long, copies long, root long, size long, shingles binary")
     dealt = _dealt(whole, F.col("size"), F.col("node"), 2 * BLOCK)
     dealt = dealt.select("root", "i", "j", "block", "node", "copies", "shingles")
     dealt = dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
@@ -308,7 +316,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     known = stored(known, "known")
     found = sketched.drop("mins").join(known.hint("merge"), (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & (F.col("n") > 0), "left")
     return found.select(
-        F.col("key").alias(key),
+        "row",
+        "key",
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),

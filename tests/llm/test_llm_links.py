@@ -77,6 +77,17 @@ def test_near_duplicates(spark, monkeypatch, leaf):
     assert classes_of(near_duplicates(frame)) == expected_classes(rows)
 
 
+def test_repeated_rows_count_once_in_links(spark):
+    """Rows A, A, B with A ~ B; likewise with ids that other texts share."""
+    a, b, c = sentence(7, 80), sentence(7, 80) + " end", sentence(8, 80)
+    rows = [(1, a), (1, a), (2, b), (1, c), (None, c + " end"), (None, c + " end"), (None, a + " and so on")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in near_duplicates(frame).collect())
+    assert found == sorted(
+        [("1", "1", 3), ("1", "1", 3), ("2", "1", 3), ("1", "1", 2), ("None", "1", 2), ("None", "1", 2), ("None", "1", 3)]
+    )
+
+
 def test_every_split_takes_two_tokens(spark):
     """A pair that shares 4 tokens of 5 is missed by a split with 0.04, not 0.16, so depth doesn't add up."""
     mins = F.transform(F.sequence(F.lit(1), F.lit(near_dups.TOKENS)), lambda i: i)
