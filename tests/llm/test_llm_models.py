@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from chronolake.llm import gru
+from chronolake.llm import gru, lm_scoring
 from chronolake.llm.language import language
 from chronolake.llm.lm_scoring import lm_scores
 from chronolake.llm.toxicity import INSULT, NEGATION, STOP, TARGET, Grammar, Model, compose, toxicity, without_toxic
@@ -127,6 +127,30 @@ def test_lm_scores(documents):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_network_learns_from_every_training_text(spark, monkeypatch):
+    """All rounds together read each training text once, however many there are, and nothing is sampled."""
+    monkeypatch.setattr(lm_scoring, "ROUND_TOKENS", 2000)
+    monkeypatch.setattr(lm_scoring, "ENOUGH", 1)
+    seen = spark.sparkContext.accumulator(0)
+    plain = lm_scoring._round
+
+    def counting(*given):
+        run = plain(*given)
+
+        def counted(batches):
+            for found in run(batches):
+                seen.add(int(found["tokens"].sum()))
+                yield found
+
+        return counted
+
+    monkeypatch.setattr(lm_scoring, "_round", counting)
+    frame = spark.range(3000).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text")
+    found = lm_scores(frame).collect()
+    assert seen.value == found[0].train_tokens == sum(r.n_tokens for r in found if not r.held_out)
+    assert sum(r.score for r in found) > sum(r.base_score for r in found)
+
+
 def test_lm_scores_of_awkward_rows(awkward, nothing):
     found = lm_scores(awkward)
     assert found_scores(found) == base_scores([(r.doc_id, r.text) for r in awkward.collect()])
