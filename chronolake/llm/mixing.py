@@ -92,14 +92,27 @@ def mix(
     are all empty has target 0 and gives no copies. Of equal (source, size), the smaller id comes first,
     null ids foremost; repeated rows count one by one. An empty table gives an empty result.
     """
-    narrow = docs.select(
-        F.col(f"`{key}`").alias("key"),
-        F.col(f"`{source}`").cast("string").alias("source"),
-        word_count(text_of(F.col(f"`{text}`"))).alias("size"),
+    found = _mixed(_sizes(docs, f"`{text}`", f"`{source}`", f"`{key}`"), ("key",), weights, max_repeats)
+    return found.select(F.col("key").alias(key), "size", "source_size", "target", "copies", "taken")
+
+
+def _sizes(rows: DataFrame, text: str, source: str, key: str, *more: Column) -> DataFrame:
+    """Narrow rows (key, source, size) and ``more``; ``text``, ``source`` and ``key`` are expressions."""
+    return rows.select(
+        F.col(key).alias("key"),
+        F.col(source).cast("string").alias("source"),
+        word_count(text_of(F.col(text))).alias("size"),
+        *more,
     )
+
+
+def _mixed(
+    narrow: DataFrame, order: tuple[str, ...], weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS
+) -> DataFrame:
+    """The narrow rows with source_size, target, copies and taken; rows of one size stand in ``order``."""
     narrow = stored(narrow, "mix-sizes")
     targets = source_targets(narrow, weights, max_repeats).withColumnRenamed("source", "t_source")
-    ranked = numbered(narrow, "source", "size", "key")
+    ranked = numbered(narrow, "source", "size", *order)
     ranked = ranked.join(targets, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     ranked = stored(ranked.withColumn("expected", expected), "mix-ranks")
@@ -114,8 +127,7 @@ def mix(
     drawn = drawn.select("d_source", F.array_min(F.array(*tried))["u"].alias("start"))
     ranked = ranked.join(drawn, F.col("source").eqNullSafe(F.col("d_source")))
     return ranked.withColumn("copies", _copies(F.col("start"))).select(
-        F.col("key").alias(key),
-        "size",
+        *narrow.columns,
         "source_size",
         "target",
         "copies",
@@ -123,14 +135,19 @@ def mix(
     )
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options
+) -> DataFrame:
     """The rows of ``docs`` repeated as often as the mix takes them.
 
-    Rows are matched by id: rows that share an id are taken together, as often as the first of them. Rows
-    without an id give no copies.
+    Each row is taken as often as the mix says for it, whatever its id. Of equal (source, size, id), the order
+    is that of a hash of the text.
     """
-    key = options.get("key", "doc_id")
-    copies = mix(docs, **options).groupBy(F.col(key).alias("m_key")).agg(F.min("copies").alias("m_copies"))
-    rows = docs.select(packed(docs).alias("row"))
-    taken = rows.join(copies.where(F.col("m_copies") > 0), F.col(f"row.`{key}`") == F.col("m_key"))
-    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies")))).select("row.*")
+    rows = docs.select(packed(docs).alias("whole")).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows, "mix-rows")  # fixes the row numbers: ids may be null or repeated
+    tie = F.xxhash64(F.col(f"whole.`{text}`")).alias("tie")
+    narrow = _sizes(rows, f"whole.`{text}`", f"whole.`{source}`", f"whole.`{key}`", tie, F.col("row"))
+    copies = _mixed(narrow, ("key", "tie", "row"), **options).where("copies > 0")
+    copies = copies.select(F.col("row").alias("m_row"), "copies")
+    taken = rows.join(copies, F.col("row") == F.col("m_row"))
+    return taken.select("whole", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("whole.*")

@@ -270,15 +270,20 @@ def _numbered(rows: DataFrame, label: str) -> DataFrame:
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), label)
 
 
+def _place() -> Column:
+    """Order of rows: by id, null ids last, then by row."""
+    return F.struct(F.col("key").isNull().alias("none"), "key", "row")
+
+
 def _classes(texts: DataFrame) -> DataFrame:
-    """near_duplicates() for stored rows (row, key, text), with ``row``."""
+    """near_duplicates() for stored rows (row, key, text), with ``row`` and the row that stays of its class."""
     kind = texts.schema["key"].dataType.simpleString()
     sketched = texts.select("row", "key", "text")
     sketched = sketched.mapInPandas(_sketched, f"row long, key {kind}, s1 long, s2 long, n long, mins array<int>")
     sketched = stored(sketched.withColumn("node", _node(F.col("s1"), F.col("s2"))), "sketches")
     nodes = sketched.where("n > 0").groupBy("s1", "s2", "node").agg(
-        F.min("key").alias("first_key"),
         F.min("row").alias("first_row"),
+        F.min(_place()).alias("lead"),
         F.count(F.lit(1)).alias("copies"),
         F.any_value("mins").alias("mins"),
     )
@@ -299,17 +304,18 @@ def _classes(texts: DataFrame) -> DataFrame:
     links = compared.where("b IS NULL").groupBy(F.col("a").alias("l_node")).agg(F.sum("links").alias("links"))
     roots = components(compared.where("b IS NOT NULL").select("a", "b"))
     roots = roots.withColumnsRenamed({"node": "r_node", "root": "r_root"})
-    known = nodes.select("s1", "s2", "node", "first_key", "copies")
+    known = nodes.select("s1", "s2", "node", "lead", "copies")
     known = known.join(links, F.col("node") == F.col("l_node"), "left")
     known = known.join(roots, F.col("node") == F.col("r_node"), "left")
     known = known.withColumn("root", F.coalesce("r_root", "node"))
-    known = stored(known.select("s1", "s2", "first_key", "copies", "links", "root"), "known")
-    names = stored(known.groupBy(F.col("root").alias("n_root")).agg(F.min("first_key").alias("class_id")), "names")
-    known = known.join(names, F.col("root") == F.col("n_root"))
+    known = stored(known.select("s1", "s2", "lead", "copies", "links", "root"), "known")
+    names = stored(known.groupBy(F.col("root").alias("n_root")).agg(F.min("lead").alias("lead")), "names")
+    known = known.drop("lead").join(names, F.col("root") == F.col("n_root"))
     known = known.select(
         F.col("s1").alias("k1"),
         F.col("s2").alias("k2"),
-        "class_id",
+        F.col("lead.key").alias("class_id"),
+        F.col("lead.row").alias("first_row"),
         "copies",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
@@ -322,15 +328,19 @@ def _classes(texts: DataFrame) -> DataFrame:
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
         F.col("n").alias("n_shingles"),
+        F.coalesce("first_row", "row").alias("first_row"),
     )
 
 
 def without_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class, with all their columns.
+    """Of each class of near duplicates, the row with the smallest id, with all its columns.
 
-    Rows are matched by id: rows that share an id stay together if one of them does.
+    Each row is judged itself: of rows of a class that share the smallest id, the first one stays, and of a
+    class without ids, too. Rows without shingles stay.
     """
-    classes = near_duplicates(docs, text, key)
-    keep = classes.where(F.col("class_id").eqNullSafe(F.col(key))).select(F.col(key).alias("k_key")).distinct()
-    rows = docs.select(packed(docs).alias("row"))
-    return rows.join(keep, F.col(f"row.`{key}`").eqNullSafe(F.col("k_key")), "left_semi").select("row.*")
+    rows = _numbered(docs.select(packed(docs).alias("whole")), "near-rows")
+    texts = rows.select("row", F.col(f"whole.`{key}`").alias("key"), F.col(f"whole.`{text}`").cast("string").alias("text"))
+    found = _classes(texts)
+    # At most one row of a class stays; classes are told apart by their first row.
+    keep = found.where("row = first_row").select(F.col("row").alias("k_row"))
+    return rows.join(keep.hint("merge"), F.col("row") == F.col("k_row"), "left_semi").select("whole.*")

@@ -150,3 +150,19 @@ def test_pack(spark, awkward):
 
 def test_empty_tables(nothing):
     assert exact_dedup(nothing).count() == mix(nothing).count() == mixed_rows(nothing).count() == pack(nothing).count() == 0
+
+
+def test_mixed_rows_of_null_and_repeated_ids(spark):
+    """Every row has copies of its own: the sources give the words that the mix says."""
+    rows = spark.range(90).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS doc_id",
+        "concat(repeat('a ', int(id % 5)), 't', id) AS text",
+        "concat('s', id % 2) AS source",
+    )
+    wanted = {}
+    for r in mix(rows.selectExpr("text AS doc_id", "text", "source")).collect():
+        wanted[r.source_size, r.target] = wanted.get((r.source_size, r.target), 0) + r.taken
+    found = mixed_rows(rows).collect()
+    assert sum(len(r.text.split()) for r in found) == sum(wanted.values())
+    assert len({r.text for r in found if r.doc_id is None}) > 20
+    assert len({r.text for r in found if r.doc_id == 7}) > 20

@@ -105,6 +105,15 @@ def test_one_of_each_class_stays(spark, awkward):
     assert kept.columns == awkward.columns
 
 
+def test_each_row_without_id_is_judged_itself(spark):
+    """A unique row without id doesn't keep near copies that have none; rows sharing an id don't keep each other."""
+    a, b = sentence(7, 80), sentence(8, 80)
+    rows = [(None, a), (None, a + " end"), (None, sentence(9, 80)), (1, b), (2, b + " end"), (2, sentence(10, 80)), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in without_near_duplicates(frame).collect()]
+    assert len(kept) == 5 and {rows[2], rows[3], rows[5], rows[6]} < set(kept)
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(60).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(100, 200)], "a long, b long"))
     found = {r.node: r.root for r in components(edges).collect()}
