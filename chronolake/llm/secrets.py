@@ -245,16 +245,16 @@ def secret_digest(found: DataFrame, key: str = "doc_id", base: tuple[Rule, ...]
 
 
 def with_secrets_masked(docs: DataFrame, mask: str = "*", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with every secret's characters replaced; rows are matched by id and text."""
-    found = find_secrets(docs.select(key, text), text, key).where(F.size("spans") > 0).dropDuplicates([key])
-    hidden = found.select(F.col(key).alias("f_key"), "spans")
+    """The rows of ``docs`` with every secret's characters replaced; each row is masked by its own text's spans."""
     rows = docs.select(packed(docs).alias("row"))
     whole = F.col(f"row.`{text}`")
+    nothing = F.array().cast(_SPAN)
+    found = [F.when(text_of(whole).rlike(r.java), _spans(text_of(whole), r, i)).otherwise(nothing) for i, r in enumerate(RULES)]
+    rows = rows.select("row", F.array_sort(F.concat(*found)).alias("spans"))
 
     def cover(done: Column, span: Column) -> Column:
         size = span["end"] - span["start"]
         return F.overlay(done, F.repeat(F.lit(mask), size), span["start"] + 1, size)
 
     masked = F.coalesce(F.aggregate("spans", whole, cover), whole)
-    joined = rows.join(hidden, F.col(f"row.`{key}`") == F.col("f_key"), "left")
-    return joined.select([masked.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return rows.select([masked.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -194,6 +194,14 @@ def test_secrets_of_awkward_rows(awkward, nothing):
     assert masked[10] == "é É 1234 🙂 " + "*" * 15 and masked[8] == "x" and masked[1] is None
 
 
+def test_each_row_is_masked_by_its_own_spans(spark):
+    rows = [(None, "x token: secret99"), (None, "nothing"), (1, "token: secret99 and more"), (1, "more and token: secret99")]
+    masked = with_secrets_masked(spark.createDataFrame(rows, "doc_id long, text string"))
+    hidden = "*" * 15
+    wanted = [(None, f"x {hidden}"), (None, "nothing"), (1, f"{hidden} and more"), (1, f"more and {hidden}")]
+    assert sorted(map(str, masked.collect())) == sorted(f"Row(doc_id={k}, text={t!r})" for k, t in wanted)
+
+
 def test_trigram_queries():
     assert trigram_query(r"[0-9a-f]+") is None
     assert trigram_query(r"AKIA[A-Z0-9]+") == ("and", ("aki", "kia"))
