@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolake.llm.conversation_trie import conversation_trie
 from chronolake.llm.exact_dedup import exact_dedup
 from chronolake.llm.language import language
 from chronolake.llm.lm_scoring import lm_scores
@@ -17,6 +18,9 @@ from chronolake.llm.passages import repeated_passages
 from chronolake.llm.secrets import find_secrets, secret_digest
 from chronolake.llm.top_k import top_k
 from chronolake.llm.toxicity import toxicity
+from chronolake.llm.vector_codes import vector_codes
+from chronolake.llm.warc import read_warc, write_warc
+from chronolake.session import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +70,20 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(find_secrets(table(spark, folder, "documents")))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = write_warc(table(spark, folder, "pages"), fresh_folder(spark, "warc"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return read_warc(spark, archive.folder).select(*columns)
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -78,4 +96,7 @@ def registered() -> dict[str, Query]:
         "op8_repeated_passages": op8_repeated_passages,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_secrets": op10_secrets,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_warc": op13_warc,
     }

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables n
 
 def test_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.registered()) | {"pipeline"} <= names
 
 
