@@ -3,12 +3,12 @@
 1. One narrow row for each page: id, URL, size and digests of the payload, and a stored row number. Of
    equal payloads the page with the largest id is the response, found by a combined maximum for each
    digest; the others revisit it. Payloads with very many copies are looked up in a broadcast list of
-   bounded size, all others meet their response by digest. The payload itself is shuffled once for each
-   different text (copies are folded before the shuffle), never for a revisit.
+   bounded size, all others meet their response by digest. Payloads are shuffled once, straight to the
+   shard of their page; of one with very many copies only the response's is sent.
 2. Records are put in order by page id, digest and a salt. Splitters taken from a hash sample of the narrow
    rows, weighted by bytes, deal that order into shards. The sample depends on the rows only, so the shards
    are the same on any cluster (equal rows of a hot payload apart), and no page id, however frequent, has to fit into one shard.
-3. A task sorts its shards and writes each as a sequence of files, one gzip member for each record with
+3. A task sorts its shards, each payload before the record that may need it, and writes a sequence of files, one gzip member for each record with
    headers and digests generated anew. A file is closed when its compressed size passes the limit.
 4. Files are written under temporary names. Each finished file gives one row of a manifest, which Spark
    stores; only files that it lists count, so the leavings of lost or repeated tasks are ignored. The files
@@ -54,7 +54,7 @@ MANIFEST = "manifest.jsonl"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _RECORDS = (
-    "shard int, place binary, row long, page_id string, url string, sha1 string, sha256 string, bytes long, "
+    "place binary, kind int, row long, page_id string, url string, sha1 string, sha256 string, bytes long, "
     "salt int, is_response boolean, to_page string, to_url string, html string"
 )
 _WRITTEN = "shard int, number int, temporary string, name string, records long, bytes long, sha256 string"
@@ -80,17 +80,26 @@ def _pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     )
 
 
-def _typed(narrow: DataFrame, least: int) -> DataFrame:
-    """Add ``is_response`` and ``salt``, and for revisits ``to_page`` and ``to_url``; small payloads never revisit."""
+def _first_of_copies(narrow: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The response (of, first) of each payload with copies: those with very many, and all others."""
     first = F.struct(F.col("page_id").isNotNull().alias("some"), "page_id", "url", "row")
     groups = narrow.where(F.col("bytes") >= least).groupBy(F.col("sha256").alias("of"))
     groups = groups.agg(F.max(first).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     groups = stored(groups, "warc-copies")
-    limit = max(MAX_COPIES, narrow.count() // MAX_HOT)
-    hot = F.broadcast(groups.where(F.col("copies") > limit).drop("copies"))  # at most MAX_HOT rows
-    rest = groups.where(F.col("copies") <= limit).select(F.col("of").alias("r_of"), F.col("first").alias("r_first"))
-    joined = narrow.join(hot, (F.col("sha256") == F.col("of")) & (F.col("bytes") >= least), "left")
-    # Rows of hot digests have their answer, and are kept off the second join's key by their row number.
+    limit = max(MAX_COPIES, narrow.count() // MAX_HOT)  # so that at most MAX_HOT payloads have more copies
+    few, many = F.col("copies") <= limit, F.col("copies") > limit
+    return groups.where(many).drop("copies"), groups.where(few).drop("copies")
+
+
+def _salt(row: Column) -> Column:
+    return F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int")
+
+
+def _typed(narrow: DataFrame, hot: DataFrame, rest: DataFrame, least: int) -> DataFrame:
+    """Add ``is_response`` and ``salt``, and for revisits ``to_page`` and ``to_url``; small payloads never revisit."""
+    rest = rest.select(F.col("of").alias("r_of"), F.col("first").alias("r_first"))
+    joined = narrow.join(F.broadcast(hot), (F.col("sha256") == F.col("of")) & (F.col("bytes") >= least), "left")
+    # Rows of hot payloads have their answer, and are kept off the second join's key by their row number.
     digest = F.when(F.col("first").isNull() & (F.col("bytes") >= least), F.col("sha256"))
     joined = joined.withColumn("by", F.coalesce(digest, F.col("row").cast("string")))
     joined = joined.join(rest, F.col("by") == F.col("r_of"), "left")
@@ -100,12 +109,30 @@ def _typed(narrow: DataFrame, least: int) -> DataFrame:
         *narrow.columns,
         is_response.alias("is_response"),
         # Only rows of hot payloads are cut apart by their number, which depends on the table's layout.
-        F.when(F.col("first").isNotNull(), F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"),
+        F.when(F.col("first").isNotNull(), _salt(F.col("row"))).otherwise(0).alias("salt"),
         F.when(~is_response, lead["page_id"]).alias("to_page"),
         F.when(~is_response, lead["url"]).alias("to_url"),
     )
 
 
+def _payloads(pages: DataFrame, hot: DataFrame, key: str, html: str) -> DataFrame:
+    """Texts (page_id, sha256, salt, html) of all pages that may be responses; empty ones need none."""
+    text = text_of(F.col(f"`{html}`"))
+    rows = pages.select(
+        F.col(f"`{key}`").cast("long").alias("page_id"), F.sha2(text.cast("binary"), 256).alias("sha256"), text.alias("html")
+    ).where("html <> ''")
+    if hot.isEmpty():
+        return rows.withColumn("salt", F.lit(0))
+    joined = rows.join(F.broadcast(hot), F.col("sha256") == F.col("of"), "left")
+    others = joined.where(F.col("of").isNull()).select("page_id", "sha256", F.lit(0).alias("salt"), "html")
+    # Rows with the response's id may be many as well: they are folded before they are sent.
+    own = joined.where(F.col("of").isNotNull() & F.col("page_id").eqNullSafe(F.col("first.page_id")))
+    own = own.groupBy("sha256").agg(
+        F.any_value("page_id").alias("page_id"), F.any_value(_salt(F.col("first.row"))).alias("salt"), F.any_value("html").alias("html")
+    )
+    return others.unionByName(own)
+
+
 def _place() -> Column:
     """Order of the records as bytes: page id (null first), digest, salt."""
     sign = F.col("page_id").bitwiseXOR(F.lit(-(2**63)))
@@ -139,33 +166,28 @@ def _plain(batch: pd.DataFrame) -> pd.DataFrame:
 
 def _sharded(splitters: np.ndarray):
     def run(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            places = np.array([bytes(p) for p in batch["place"]], dtype="S18")
-            yield _plain(batch).assign(shard=np.searchsorted(splitters, places, side="right").astype(np.int32))
+            places = np.array(batch.column("place").to_pylist(), dtype="S18")
+            shard = np.searchsorted(splitters, places, side="right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns], ["shard", *batch.schema.names])
 
     return run
 
 
-def _records(pages: DataFrame, narrow: DataFrame, html: str, least: int, shard_bytes: int) -> tuple[DataFrame, int]:
-    """All records with their shards, responses with their payload; and the number of shards."""
-    typed = _typed(narrow, least)
-    typed = stored(typed.withColumn("place", _place()), "warc-types")
+def _records(
+    pages: DataFrame, narrow: DataFrame, key: str, html: str, least: int, shard_bytes: int
+) -> tuple[DataFrame, int]:
+    """Payloads (kind 0) and records (kind 1) with their shards, and the number of shards."""
+    hot, rest = _first_of_copies(narrow, least)
+    typed = stored(_typed(narrow, hot, rest, least).withColumn("place", _place()), "warc-types")
     splitters = _splitters(typed, shard_bytes)
-    columns = [c.split()[0] for c in _RECORDS.split(", ")]
-    schema = _RECORDS.removesuffix(", html string")
-    # As text: pandas would read longs with nulls as doubles.
-    names = {c: F.col(c).cast("string") for c in ("page_id", "to_page")}
-    placed = typed.withColumns({"shard": F.lit(0), **names})
-    placed = placed.select(columns[:-1]).mapInPandas(_sharded(splitters), schema)
-    text = text_of(F.col(f"`{html}`"))
-    # One text for each digest. Copies are folded before the shuffle; empty texts need none.
-    texts = pages.select(F.sha2(text.cast("binary"), 256).alias("t_sha256"), text.alias("html")).where("html <> ''")
-    texts = texts.groupBy("t_sha256").agg(F.any_value("html").alias("html"))
-    needed = F.when(F.col("is_response") & (F.col("bytes") > 0), F.col("sha256"))
-    # Responses have different digests from ``least`` bytes on; of smaller payloads each copy needs the text.
-    asking, others = placed.where(needed.isNotNull()), placed.where(needed.isNull())
-    found = asking.join(texts, F.col("sha256") == F.col("t_sha256")).select(columns)
-    return found.unionByName(others.withColumn("html", F.lit("")).select(columns)), len(splitters) + 1
+    payloads = _payloads(pages, hot, key, html).withColumn("place", _place())
+    both = typed.withColumn("kind", F.lit(1)).unionByName(payloads.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    columns = [F.col(c).cast(t).alias(c) for c, t in (x.split() for x in _RECORDS.split(", "))]
+    # Ids are text by now: pandas would read longs with nulls as doubles.
+    return both.select(columns).mapInArrow(_sharded(splitters), f"shard int, {_RECORDS}"), len(splitters) + 1
 
 
 # --- records --------------------------------------------------------------------------------------
@@ -222,12 +244,14 @@ def _http(size: int) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
 
 
-def _page_record(page: dict, copy: str) -> bytes:
+def _page_record(page: dict, html: str, copy: str) -> bytes:
     """A response with its payload, or a revisit with the response's HTTP header only."""
     headers = [("WARC-Type", "response" if page["is_response"] else "revisit")]
     block = _http(page["bytes"])
     if page["is_response"]:
-        block += (page["html"] or "").encode("utf-8", "surrogatepass")
+        block += html.encode("utf-8", "surrogatepass")
+        if len(block) != len(_http(page["bytes"])) + page["bytes"]:
+            raise ValueError(f"no payload for page {page['page_id']}")
     else:
         headers += [
             ("WARC-Profile", IDENTICAL),
@@ -302,9 +326,13 @@ class _Files:
 def _written(folder: str, file_bytes: int):
     def run(batches):
         files, last, copies = None, None, 0
+        held, html = None, ""
         done: list[dict] = []
         for batch in batches:
             for page in _plain(batch).to_dict("records"):
+                if page["kind"] == 0:
+                    held, html = (page["page_id"], page["sha256"]), page["html"]
+                    continue
                 if files is None or files.shard != page["shard"]:
                     if files is not None and files.stream is not None:
                         done.append(files.close())
@@ -313,7 +341,8 @@ def _written(folder: str, file_bytes: int):
                 copies = copies + 1 if same == last else 0
                 last = same
                 copy = "response" if page["is_response"] else f"{page['salt']}-{copies}"
-                done += files.add(_page_record(page, copy))
+                own = html if held == (page["page_id"], page["sha256"]) else ""
+                done += files.add(_page_record(page, own, copy))
             if done:
                 yield pd.DataFrame(done)
                 done = []
@@ -375,8 +404,9 @@ def write_warc(
         raise FileExistsError(f"{folder} holds an archive")
     system.create_dir(path, recursive=True)
     narrow = _pages(pages, key, url, html)
-    records, shards = _records(pages, narrow, html, least, shard_bytes)
-    dealt = records.repartition(shards, "shard").sortWithinPartitions("shard", "place", "url", F.desc("is_response"), "row")
+    records, shards = _records(pages, narrow, key, html, least, shard_bytes)
+    dealt = records.repartitionById(shards, F.col("shard"))
+    dealt = dealt.sortWithinPartitions("shard", "place", "kind", "url", F.desc("is_response"), "row")
     manifest = stored(dealt.mapInPandas(_written(folder, file_bytes), _WRITTEN), "warc-manifest")
     moved = manifest.mapInPandas(_moved(folder), _WRITTEN)
     files = sorted(moved.select("name", "records", "bytes", "sha256").collect())  # a row for each file
@@ -467,5 +497,5 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> D
     time, record by record. A folder without a manifest was not committed and is an error.
     """
     listing = spark.read.schema("name string, bytes long").json(f"{folder.rstrip('/')}/{MANIFEST}")
-    files = listing.repartition(max(1, min(listing.count(), 100_000)), "name")
+    files = listing.repartition(max(1, min(listing.count(), 100_000)))
     return files.mapInPandas(_read(folder, with_payload), _READ + (", payload binary" if with_payload else ""))
