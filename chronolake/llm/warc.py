@@ -40,8 +40,8 @@ from chronolake.session import stored
 
 SHARD_BYTES = 64 << 20  # of uncompressed records
 FILE_BYTES = 1 << 30  # compressed size at which a file is closed
-MAX_SHARDS = 20_000  # beyond it shards grow, and have several files
-SAMPLED = 16  # sampled rows for each shard; the driver sees at most MAX_SHARDS * SAMPLED of 20 bytes
+MAX_SHARDS = 10_000  # beyond it shards grow, and have several files
+SAMPLED = 128  # sampled rows for each shard; the driver sees at most MAX_SHARDS * SAMPLED of 20 bytes
 MAX_COPIES = 10_000  # narrow rows of one digest that may meet in one task
 MAX_HOT = 200_000  # digests in the broadcast list; the limit of copies rises with the table
 SALTS = 256
