@@ -142,6 +142,18 @@ _TABLE_STEPS = _STEPS.replace(
     "source_ts_ms > (SELECT max(source_ts_ms) FROM op) - 86400000", "ts >= TIMESTAMP '2024-01-16'"
 )
 
+# The first batch as complete history instead of one run.
+_REBUILT = (
+    _HISTORY.replace("st AS (", "early AS (SELECT * FROM rw WHERE ts < TIMESTAMP '2024-01-16'),\nst AS (").replace(
+        "AS state FROM rw", "AS state FROM early"
+    )
+    + """,
+op AS (SELECT rw.*, hs._valid_from AS since FROM hs JOIN rw USING (pg_lsn) WHERE hs._is_current),
+fe AS (SELECT id, max(pg_lsn) AS f_lsn FROM early WHERE operation = 'd' GROUP BY id),
+b2 AS"""
+    + _TABLE_STEPS.split("b2 AS", 1)[1].replace("TIMESTAMP '2024-01-16' AS _valid_from", "op.since AS _valid_from")
+)
+
 _FACTS = """
 f AS (
   SELECT user_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS product_id,
@@ -278,6 +290,8 @@ SELECT user_id AS id, CASE WHEN op0 <> 'd' THEN event_type END AS status, CASE W
        op0 <> 'd' AS is_active, op0 AS operation, ts_ms AS source_ts_ms, event_id AS kafka_offset, event_id AS pg_lsn
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM ev) WHERE rn = 1""",
         "scd2_history": f"WITH {_HISTORY} SELECT * FROM hs",
+        "scd2_history_hot": f"WITH {_HISTORY} SELECT * EXCLUDE (_hash) FROM hs",
+        "history_with_late_events": f"WITH {_HISTORY} SELECT * FROM hs",
         "scd2_actions": f"WITH {_STEPS} SELECT id, action FROM pa",
         "scd2_merge": f"WITH {_STEPS} SELECT * FROM mg",
         "scd2_anti_replay": f"""WITH {_STEPS}
@@ -287,6 +301,18 @@ UNION ALL
 SELECT 'replay', b2.id, b2.operation, b2.kafka_offset, b2._hash FROM b2 JOIN pa ON pa.id = b2.id LEFT JOIN op ON op.id = b2.id
 WHERE b2.operation <> 'd' AND pa.action = 'SKIP' AND (op.id IS NULL OR op._hash <> b2._hash)""",
         "silver_after_two_runs": f"WITH {_TABLE_STEPS} SELECT * FROM mg",
+        "silver_after_compaction": f"""WITH {_TABLE_STEPS}
+SELECT mg.*, written FROM mg, (VALUES ('appended'), ('folded')) AS w(written)""",
+        "rebuild_then_merge": f"""WITH {_REBUILT} SELECT * FROM mg
+UNION ALL
+SELECT rw.id, rw.status, hs.is_active, rw.operation, rw.source_ts_ms, rw.processed_at, rw.kafka_partition, rw.kafka_offset, rw.pg_lsn,
+       hs._valid_from, hs._valid_to, false, rw._hash, rw.pg_lsn, hs._close_lsn, hs._close_ts_ms, hs._close_offset
+FROM hs JOIN rw USING (pg_lsn) WHERE NOT hs._is_current""",
+        "gold_distinct_rollup": "\nUNION ALL\n".join(
+            f"""SELECT '{p}' AS period, strftime(date_trunc('{p}', o_orderdate), '%Y-%m-%d') AS period_start,
+       count(DISTINCT o_custkey) AS unique_customers FROM orders GROUP BY 2"""
+            for p in ("day", "week", "month")
+        ),
         "refine_late_events": f"""WITH {_ROWS}, b AS ({_latest("rw", "true")})
 SELECT id, status, pg_lsn FROM b WHERE operation <> 'd'""",
         "decode_connector_types": """SELECT o_orderkey AS id,
@@ -299,6 +325,9 @@ SELECT id, status, pg_lsn FROM b WHERE operation <> 'd'""",
 WHERE _valid_from <= TIMESTAMP '2024-01-16' AND (_valid_to IS NULL OR _valid_to > TIMESTAMP '2024-01-16')""",
         "scd2_fact_join": f"""WITH {_HISTORY}
 SELECT e.event_id, e.user_id, hs.status, hs._valid_from, hs._valid_to
+FROM events e LEFT JOIN hs ON hs.id = e.user_id AND e.ts >= hs._valid_from AND (hs._valid_to IS NULL OR e.ts < hs._valid_to)""",
+        "scd2_fact_join_hot": f"""WITH {_HISTORY}
+SELECT e.event_id, e.user_id, hs.status, hs._valid_from, hs._valid_to
 FROM events e LEFT JOIN hs ON hs.id = e.user_id AND e.ts >= hs._valid_from AND (hs._valid_to IS NULL OR e.ts < hs._valid_to)""",
         "gold_user_analytics": user_mart,
         "gold_user_analytics_orders": _user_mart(_ORDERS_H, "2001-08-01", 3_500_000, 2_500_000, 10),

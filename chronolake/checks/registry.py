@@ -21,9 +21,18 @@ from chronolake.operators.envelope import (
     parse_envelope,
     split_events,
 )
-from chronolake.operators.history import as_of, build_history, current_rows, fact_join, last_closed
+from chronolake.operators.history import (
+    as_of,
+    build_history,
+    current_rows,
+    fact_join,
+    history_spine,
+    last_closed,
+    splice_late,
+)
 from chronolake.operators.incremental import high_watermark, incremental_slice, read_watermark
 from chronolake.operators.scd2 import advance_fences, apply_scd2, empty_silver, plan_actions, unseen_rows
+from chronolake.plans.distincts import customer_days, distinct_customers
 from chronolake.plans.marts import (
     Segments,
     Tiers,
@@ -132,12 +141,16 @@ def incremental_slice_day(spark, folder):
 # --- the table path: catalog, runs, views ---------------------------------------------------
 
 
-def _refined(spark, folder, batches):
-    """Refine (rows, validity stamp) pairs in turn into a silver table of a database of its own."""
+def _fresh_silver(spark) -> SilverTable:
+    """A silver table in a database of its own."""
     database = f"checks_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_folder(spark, database)}'")
-    silver = SilverTable(database, STATUS, 8)
-    log = None
+    return SilverTable(database, STATUS, 8)
+
+
+def _refined(spark, folder, batches):
+    """Refine (rows, validity stamp) pairs in turn into a new silver table."""
+    silver, log = _fresh_silver(spark), None
     for number, (rows, stamp) in enumerate(batches):
         rows = rows.withColumn("_batch_id", F.lit(number).cast("bigint"))
         log = rows if log is None else log.unionByName(rows)
@@ -152,6 +165,34 @@ def silver_after_two_runs(spark, folder):
     return _refined(spark, folder, [(log.where(early), instant(CUT)), (log.where(~early), instant(AFTER))])
 
 
+def _in_two_batches(spark, folder) -> DataFrame:
+    log = stored(data.parsed_log(spark, folder), "log")
+    return log.withColumn("_batch_id", (F.col("kafka_timestamp") >= instant(CUT)).cast("bigint"))
+
+
+@query("silver_after_compaction")
+def silver_after_compaction(spark, folder):
+    """Two runs with a fold between them; the table as it is then, and after a second fold."""
+    log, silver = _in_two_batches(spark, folder), _fresh_silver(spark)
+    silver.refine(log.where("_batch_id = 0"), instant(CUT))
+    silver.fold(spark, 0)
+    silver.refine(log, instant(AFTER))
+    before = stored(spark.table(silver.view), "before")
+    silver.fold(spark, 0)
+    after = spark.table(silver.view).withColumn("written", F.lit("folded"))
+    return before.withColumn("written", F.lit("appended")).unionByName(after)
+
+
+@query("rebuild_then_merge")
+def rebuild_then_merge(spark, folder):
+    """The complete history of the first batch, replacing a run over it, and one step with the second batch."""
+    log, silver = _in_two_batches(spark, folder), _fresh_silver(spark)
+    silver.refine(log.where("_batch_id = 0"), instant(CUT))
+    silver.rebuild(log.where("_batch_id = 0"))
+    silver.refine(log, instant(AFTER))
+    return spark.table(silver.view)
+
+
 @query("refine_late_events")
 def refine_late_events(spark, folder):
     """Two thirds of the keys reach the log after events of later times have been consumed, some undated."""
@@ -239,6 +280,28 @@ def scd2_history(spark, folder):
     )
 
 
+@query("scd2_history_hot")
+def scd2_history_hot(spark, folder):
+    """As ``scd2_history``, with every key of more than ten events cut into segments."""
+    rows = build_history(stored(data.decoded_log(spark, folder), "decoded"), STATUS, max_rows_per_key=10)
+    return rows.select("id", "status", "is_active", "operation", "pg_lsn", "_valid_from", "_valid_to", "_is_current", *CLOSE)
+
+
+@query("history_with_late_events")
+def history_with_late_events(spark, folder):
+    """Events in three deliveries without regard to their order: the first builds, the others are spliced in."""
+    part = F.pmod(F.crc32(F.col("kafka_offset").cast("string").cast("binary")), F.lit(3))
+    parts = stored(data.decoded_log(spark, folder).withColumn("part", part), "decoded", "part")
+    first, *others = [parts.where(F.col("part") == i).drop("part") for i in range(3)]
+    history, spine = stored(build_history(first, STATUS), "history"), stored(history_spine(first, STATUS), "spine")
+    for late in others:
+        history = stored(splice_late(history, spine, late, STATUS), "history")
+        spine = spine.unionByName(history_spine(late, STATUS))
+    return history.select(
+        "id", "status", "is_active", "operation", "pg_lsn", "_valid_from", "_valid_to", "_is_current", "_hash", *CLOSE
+    )
+
+
 @query("scd2_actions")
 def scd2_actions(spark, folder):
     open_rows, batch, known = _two_steps(spark, folder)
@@ -288,6 +351,15 @@ def scd2_fact_join(spark, folder):
     return joined.select("event_id", "user_id", "status", "_valid_from", "_valid_to")
 
 
+@query("scd2_fact_join_hot")
+def scd2_fact_join_hot(spark, folder):
+    """As ``scd2_fact_join``, with every key of more than ten facts and versions cut into segments."""
+    facts = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    history = stored(_history(spark, folder), "silver", "_is_current")
+    joined = fact_join(facts, history, "user_id", "ts", ["status"], max_rows_per_key=10)
+    return joined.select("event_id", "user_id", "status", "_valid_from", "_valid_to")
+
+
 # --- marts -----------------------------------------------------------------------------------
 
 
@@ -335,6 +407,14 @@ def gold_product_days(spark, folder):
     return product_days(data.order_lines(spark, folder)).select("order_date", "product_id", "order_count", "revenue_cents")
 
 
+@query("gold_distinct_rollup")
+def gold_distinct_rollup(spark, folder):
+    """Distinct customers of days, weeks and months, all from one stored table of bitmaps."""
+    days = stored(customer_days(data.order_totals(spark, folder)), "customer-days")
+    periods = [distinct_customers(days, period) for period in ("day", "week", "month")]
+    return periods[0].unionByName(periods[1]).unionByName(periods[2])
+
+
 @query("gold_roundtrip")
 def gold_roundtrip(spark, folder):
     path = fresh_folder(spark, "mart")

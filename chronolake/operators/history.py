@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolake.functions.specs import CLOSE, KEY, ORDER, EntitySpec
+from chronolake.functions.specs import AUDIT, CLOSE, KEY, ORDER, EntitySpec
 from chronolake.operators.decode import with_row_hash
 from chronolake.operators.skew import MAX_ROWS_PER_KEY, SEGMENT, balance, with_neighbours
 from chronolake.session import stored
@@ -135,3 +135,58 @@ def _carry_across_segments(stream: DataFrame) -> DataFrame:
     carried = ends.select("_key", SEGMENT, F.last("_own", ignorenulls=True).over(earlier).alias("_carried"))
     filled = _carry_forward(stream, "_key", SEGMENT).join(carried, ["_key", SEGMENT], "left")
     return filled.withColumn("_version", F.coalesce("_version", "_carried")).drop("_carried", SEGMENT)
+
+
+def history_spine(rows: DataFrame, spec: EntitySpec) -> DataFrame:
+    """What late events need of all earlier ones: key, audit columns and content hash, no content."""
+    return with_row_hash(rows, spec).select(KEY, *AUDIT, "_hash")
+
+
+def splice_late(
+    history: DataFrame, spine: DataFrame, late: DataFrame, spec: EntitySpec, max_rows_per_key: int = MAX_ROWS_PER_KEY
+) -> DataFrame:
+    """The history with decoded events put in where they belong in event order, whatever order they came in.
+
+    ``history`` holds all versions of the events whose ``history_spine`` is ``spine``; both are to be stored
+    tables. The result equals ``build_history`` over those events and the late ones. Events that the spine
+    has already, and repeated ones, change nothing. Add ``history_spine(late, spec)`` to the spine afterwards.
+
+    Only a stretch of each key is built anew: from the change that covers the first late event to the second
+    change after the last one. Inside, a late event can split a version, or make a repeated content a change;
+    the first change behind it can turn into a repetition; the second can't, as the state before it is the
+    same. Versions outside the stretch are passed on as they are.
+    """
+    order, closing = F.struct(*ORDER), F.struct(*[F.col(c).alias(o) for c, o in zip(CLOSE, ORDER)])
+    same_event = [F.col(f"late.{c}").eqNullSafe(F.col(f"known.{c}")) for c in (KEY, *ORDER)]
+    news = with_row_hash(late, spec).where(F.col(KEY).isNotNull()).dropDuplicates([KEY, *ORDER])
+    news = stored(news.alias("late").join(spine.select(KEY, *ORDER).alias("known"), same_event, "left_anti"), "late-events")
+    bounds = news.groupBy(KEY).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+
+    touched = history.join(bounds, KEY)
+    ends = F.when(F.col("_is_current"), F.array(order)).otherwise(F.array(order, closing))
+    points = stored(touched.select(KEY, "_first", "_last", F.explode(ends).alias("_at")), "change-points")
+    near = points.groupBy(KEY).agg(
+        F.max(F.when(F.col("_at") <= F.col("_first"), F.col("_at"))).alias("_from"),
+        F.min(F.when(F.col("_at") > F.col("_last"), F.col("_at"))).alias("_next"),
+    )
+    behind = points.join(near, KEY).groupBy(KEY).agg(F.min(F.when(F.col("_at") > F.col("_next"), F.col("_at"))).alias("_until"))
+    cuts = bounds.select(KEY, F.lit(True).alias("_late")).join(near.join(behind, KEY), KEY, "left")
+    cuts = stored(cuts.select(KEY, "_late", "_from", "_until"), "stretches")
+
+    placed = history.join(cuts, KEY, "left")
+    outside = F.col("_late").isNull() | (order < F.col("_from")) | (order >= F.col("_until"))
+    kept = placed.where(F.coalesce(outside, F.lit(False))).select(*history.columns)
+
+    # The change at the end of the stretch is read along, as the close of the last version inside.
+    inside = (F.col("_from").isNull() | (order >= F.col("_from"))) & (F.col("_until").isNull() | (order <= F.col("_until")))
+    columns = [KEY, *AUDIT, "_hash"]
+    events = spine.join(cuts, KEY).where(inside).select(columns).unionByName(news.select(columns))
+    # A repetition has the content of the version that it repeats.
+    content = [c for c in spec.business() if c not in (KEY, "is_active")]
+    known = touched.select(KEY, "_hash", *content).unionByName(news.select(KEY, "_hash", *content))
+    known = known.dropDuplicates([KEY, "_hash"])
+    whole = events.join(known, [KEY, "_hash"], "left").withColumn("is_active", F.col("operation") != "d")
+    whole = stored(whole.select(*spec.business(), *AUDIT), "stretch-events")
+    rebuilt = build_history(whole, spec, max_rows_per_key).join(cuts.select(KEY, "_until"), KEY)
+    rebuilt = rebuilt.where(F.col("_until").isNull() | (order < F.col("_until")))
+    return kept.unionByName(rebuilt.select(*history.columns))

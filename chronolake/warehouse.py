@@ -444,13 +444,18 @@ class SilverTable:
         self.create(spark)
         state = self._state(spark)
         self._clean(spark, state)
-        runs: dict[int, set[int]] = {}
-        for p in _partitions(spark, self.versions):
-            number, part = int(p["_run_id"]), int(p["_slice"])
-            if p["_kind"] == _DELTA or (p["_kind"] == _CLOSED and number > state.packed.get(part, 0)):
+        found = [(p["_kind"], int(p["_slice"]), int(p["_run_id"])) for p in _partitions(spark, self.versions)]
+        bases: dict[int, int] = {}
+        for kind, part, number in found:
+            if kind == _BASE:
+                bases[part] = max(bases.get(part, 0), number)
+        runs: dict[int, set[int]] = {}  # what folds have replaced may still be there for readers
+        for kind, part, number in found:
+            if (kind == _DELTA and number > bases.get(part, 0)) or (kind == _CLOSED and number > state.packed.get(part, 0)):
                 runs.setdefault(part, set()).add(number)
-        parts = sorted(part for part, found in runs.items() if len(found) > after)
-        many_fences = len(_partitions(spark, self.fences)) > after
+        parts = sorted(part for part, numbers in runs.items() if len(numbers) > after)
+        fences = [int(p["_run_id"]) for p in _partitions(spark, self.fences)]
+        many_fences = len([number for number in fences if number > state.fences]) > after
         if not parts and not many_fences:
             return []
         run = state.run + 1

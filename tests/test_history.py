@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolake.checks.inputs import STATUS
-from chronolake.operators.history import as_of, build_history, current_rows, fact_join, last_closed
+from chronolake.operators.history import as_of, build_history, current_rows, fact_join, history_spine, last_closed, splice_late
 from chronolake.operators.quality import history_violations
 from chronolake.operators.skew import SEGMENT, balance, with_neighbours
 from events import decoded, random_log
@@ -142,3 +142,41 @@ def test_many_equal_facts_of_one_instant_keep_their_number(spark, hot_history):
     )
     joined = fact_join(facts, history, "user", "at", ["status"], max_rows_per_key=100)
     assert [tuple(r) for r in joined.groupBy("status").count().collect()] == [(version["status"], 2000)]
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("seed, statuses", [(41, 2), (42, 3), (43, 1)])  # few contents: many repetitions
+def test_late_events_are_spliced_in(spark, limit, seed, statuses):
+    import random
+
+    log = random_log(seed, keys=8, events=240, hot_share=0.3, statuses=statuses)
+    delivered = log[:]
+    random.Random(seed).shuffle(delivered)
+    parts = [delivered[:120], delivered[120:180] + delivered[:5], delivered[180:] + delivered[180:190]]  # some twice
+    folder = spark.conf.get("spark.checkpoint.dir") + f"/splice-{seed}-{limit}"
+    first = decoded(spark, parts[0])
+    history, spine = build_history(first, STATUS), history_spine(first, STATUS)
+    for number, late in enumerate(parts[1:]):
+        history.write.mode("overwrite").parquet(f"{folder}/history-{number}")
+        spine.dropDuplicates(["id", "kafka_offset"]).write.mode("overwrite").parquet(f"{folder}/spine-{number}")
+        before = spark.read.parquet(f"{folder}/history-{number}")
+        known = spark.read.parquet(f"{folder}/spine-{number}")
+        history = splice_late(before, known, decoded(spark, late), STATUS, max_rows_per_key=limit)
+        spine = known.unionByName(history_spine(decoded(spark, late), STATUS))
+    got = sorted(str(r) for r in history.collect())
+    assert got == sorted(str(r) for r in build_history(decoded(spark, log), STATUS).collect())
+
+
+def test_splicing_leaves_other_versions_alone(spark):
+    log = random_log(50, keys=3, events=200)
+    missing = [e for e in log if 100 <= e["offset"] < 103]
+    rest = decoded(spark, [e for e in log if e not in missing])
+    folder = spark.conf.get("spark.checkpoint.dir") + "/splice-few"
+    build_history(rest, STATUS).write.mode("overwrite").parquet(f"{folder}/history")
+    history_spine(rest, STATUS).write.mode("overwrite").parquet(f"{folder}/spine")
+    history, spine = spark.read.parquet(f"{folder}/history"), spark.read.parquet(f"{folder}/spine")
+    assert sorted(map(str, splice_late(history, spine, rest.limit(0), STATUS).collect())) == sorted(map(str, history.collect()))
+    spliced = splice_late(history, spine, decoded(spark, missing), STATUS)
+    assert sorted(map(str, spliced.collect())) == sorted(map(str, build_history(decoded(spark, log), STATUS).collect()))
+    touched = set(map(str, history.collect())) ^ set(map(str, spliced.collect()))
+    assert len(touched) < 40
