@@ -227,6 +227,27 @@ SELECT a.order_date AS date_key, n AS total_orders, revenue AS total_revenue, re
 FROM a LEFT JOIN t ON t.order_date = a.order_date"""
 
 
+# Order lines after the three steps of the incremental marts.
+_CHANGED_LINES = """
+f AS (
+  SELECT o_custkey AS user_id, l_partkey AS product_id,
+         CASE WHEN l_orderkey % 10 = 0 THEN l_extendedprice * 2 ELSE l_extendedprice END AS total_amount,
+         CAST(CASE WHEN l_orderkey % 10 = 0 THEN o_orderdate - INTERVAL 12 MONTH ELSE o_orderdate END AS TIMESTAMP) AS happened
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 7 <> 0
+)"""
+
+
+def _marts_as_text(users: str, products: str, days: str) -> str:
+    return f"""SELECT 'users' AS mart, CAST(user_id AS VARCHAR) AS subject, total_orders, CAST(round(total_spent * 100) AS BIGINT) AS cents,
+       segment AS label, strftime(last_order_date, '%Y-%m-%d') AS extra FROM ({users})
+UNION ALL
+SELECT 'products', CAST(product_id AS VARCHAR), total_orders, CAST(round(total_revenue * 100) AS BIGINT), performance_tier,
+       CAST(CAST(round(revenue_last_30d * 100) AS BIGINT) AS VARCHAR) FROM ({products})
+UNION ALL
+SELECT 'days', date_key, total_orders, CAST(round(total_revenue * 100) AS BIGINT), CAST(top_product_id AS VARCHAR),
+       CAST(unique_customers AS VARCHAR) FROM ({days})"""
+
+
 _GOOD_COLUMNS = "event_id, operation, source_table, before_json, after_json, source_ts_ms"
 
 _DLQ_COLUMNS = "topic, kafka_partition, kafka_offset, raw_value, error_type"
@@ -308,6 +329,11 @@ UNION ALL
 SELECT rw.id, rw.status, hs.is_active, rw.operation, rw.source_ts_ms, rw.processed_at, rw.kafka_partition, rw.kafka_offset, rw.pg_lsn,
        hs._valid_from, hs._valid_to, false, rw._hash, rw.pg_lsn, hs._close_lsn, hs._close_ts_ms, hs._close_offset
 FROM hs JOIN rw USING (pg_lsn) WHERE NOT hs._is_current""",
+        "gold_incremental": _marts_as_text(
+            _user_mart(_CHANGED_LINES, "2001-08-01", 3_500_000, 2_500_000, 10),
+            _product_mart(_CHANGED_LINES, "2001-08-01", 2_000_000, 1_700_000, 1_400_000),
+            _daily_mart(_CHANGED_LINES),
+        ),
         "gold_distinct_rollup": "\nUNION ALL\n".join(
             f"""SELECT '{p}' AS period, strftime(date_trunc('{p}', o_orderdate), '%Y-%m-%d') AS period_start,
        count(DISTINCT o_custkey) AS unique_customers FROM orders GROUP BY 2"""

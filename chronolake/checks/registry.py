@@ -33,6 +33,7 @@ from chronolake.operators.history import (
 from chronolake.operators.incremental import high_watermark, incremental_slice, read_watermark
 from chronolake.operators.scd2 import advance_fences, apply_scd2, empty_silver, plan_actions, unseen_rows
 from chronolake.plans.distincts import customer_days, distinct_customers
+from chronolake.plans.increments import OrderTotals
 from chronolake.plans.marts import (
     Segments,
     Tiers,
@@ -407,6 +408,66 @@ def gold_product_days(spark, folder):
     return product_days(data.order_lines(spark, folder)).select("order_date", "product_id", "order_count", "revenue_cents")
 
 
+def _changing_lines(spark, folder) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+    """Order lines in three steps, each as (opened, closed, current).
+
+    First all lines of even orders; then the others, and every tenth order moved to a year earlier and doubled;
+    then every seventh order is gone, in whatever state it is.
+    """
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    lines = stored(
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("l_orderkey").alias("key"),
+            F.col("o_custkey").alias("user_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_extendedprice").alias("total_amount"),
+            F.col("o_orderdate").cast("timestamp").alias("_valid_from"),
+        ),
+        "lines",
+    )
+    moved = lines.where("key % 10 = 0").withColumns(
+        {"total_amount": F.col("total_amount") * 2, "_valid_from": F.add_months("_valid_from", -12).cast("timestamp")}
+    )
+    even, odd = lines.where("key % 2 = 0"), lines.where("key % 2 = 1")
+    second = lines.where("key % 10 <> 0").unionByName(moved)
+    gone = second.where("key % 7 = 0")
+    return [
+        (even, lines.limit(0), even),
+        (odd.unionByName(moved), lines.where("key % 10 = 0"), second),
+        (lines.limit(0), gone, second.where("key % 7 <> 0")),
+    ]
+
+
+@query("gold_incremental")
+def gold_incremental(spark, folder):
+    """The three marts from totals kept up over three steps with changed and deleted orders; one text per row."""
+    totals = OrderTotals(fresh_folder(spark, "order-totals"))
+    totals.create(spark)
+    for opened, closed, current in _changing_lines(spark, folder):
+        totals.advance(opened, closed, current)
+    users, products, stamp = data.customers(spark, folder), data.parts(spark, folder), instant(AFTER)
+    marts = {
+        "users": (totals.user_analytics(users, instant(TODAY_H), SEGMENTS_H, stamp), "user_id", "segment"),
+        "products": (totals.product_analytics(products, instant(TODAY_H), TIERS_H, stamp), "product_id", "performance_tier"),
+        "days": (totals.daily_sales(spark, stamp), "date_key", "top_product_id"),
+    }
+    revenue = {"users": "total_spent", "products": "total_revenue", "days": "total_revenue"}
+    extra = {"users": F.date_format("last_order_date", "yyyy-MM-dd"), "products": F.round(F.col("revenue_last_30d") * 100).cast("bigint").cast("string"), "days": F.col("unique_customers").cast("string")}
+    rows = [
+        mart.select(
+            F.lit(name).alias("mart"),
+            F.col(key).cast("string").alias("subject"),
+            F.col("total_orders").cast("bigint").alias("total_orders"),
+            F.round(F.col(revenue[name]) * 100).cast("bigint").alias("cents"),
+            F.col(label).cast("string").alias("label"),
+            extra[name].alias("extra"),
+        )
+        for name, (mart, key, label) in marts.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query("gold_distinct_rollup")
 def gold_distinct_rollup(spark, folder):
     """Distinct customers of days, weeks and months, all from one stored table of bitmaps."""

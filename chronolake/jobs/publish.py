@@ -6,11 +6,14 @@ import argparse
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from chronolake.functions.specs import ENTITIES
 from chronolake.operators.history import current_rows
+from chronolake.plans.increments import OrderTotals
 from chronolake.plans.marts import daily_sales, product_analytics, user_analytics
 from chronolake.session import build_session
-from chronolake.warehouse import MARTS, exists, publish
+from chronolake.warehouse import MARTS, SilverTable, exists, publish
 
 logger = logging.getLogger("chronolake.publish")
 
@@ -38,12 +41,39 @@ def publish_all(spark: SparkSession, database: str) -> dict[str, int | None]:
     return counts
 
 
+def publish_changes(spark: SparkSession, database: str, folder: str) -> dict[str, int]:
+    """The same marts from totals in ``folder``, brought up to date by what changed in the orders since."""
+    totals, silver = OrderTotals(folder), SilverTable(database, ENTITIES["orders"])
+    users, products, orders = (current_rows(spark.read.table(f"{database}.silver_{n}")) for n in ("users", "products", "orders"))
+    if not totals.exists(spark):
+        totals.create(spark)
+    run, mark = silver.committed_run(spark), totals.mark(spark)
+    changes = None if mark is None else silver.changes(spark, mark)
+    if changes is None:  # a first time, or runs were folded away before they were seen
+        totals.restart(orders, mark=run)
+    elif run > mark:
+        totals.advance(*changes, orders, mark=run)
+        totals.fold(spark)
+    today = F.current_date()
+    marts = {
+        "gold_user_analytics": totals.user_analytics(users, today),
+        "gold_product_analytics": totals.product_analytics(products, today),
+        "gold_sales_summary": totals.daily_sales(spark),
+    }
+    return {name: publish(rows, f"{database}.{name}", MARTS[name]) for name, rows in marts.items()}
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--database", required=True)
+    parser.add_argument("--totals", help="folder of the totals that keep the marts up by changes; without it they are built anew")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    publish_all(build_session("chronolake-publish"), args.database)
+    spark = build_session("chronolake-publish")
+    if args.totals:
+        publish_changes(spark, args.database, args.totals)
+    else:
+        publish_all(spark, args.database)
 
 
 if __name__ == "__main__":

@@ -54,13 +54,24 @@ def user_analytics(
     refreshed_at: Column | None = None,
 ) -> DataFrame:
     """Recency, frequency and value per user; users without orders keep zeros."""
-    today = F.current_date() if as_of is None else as_of
     stats = orders.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum(cents("total_amount")).alias("spent_cents"),
         F.count("total_amount").alias("priced_orders"),
         F.max(order_time).alias("last_order_date"),
     )
+    return user_mart(users, stats, as_of, segments, refreshed_at)
+
+
+def user_mart(
+    users: DataFrame,
+    stats: DataFrame,
+    as_of: Column | None = None,
+    segments: Segments = Segments(),
+    refreshed_at: Column | None = None,
+) -> DataFrame:
+    """The mart's rows from each user's totals."""
+    today = F.current_date() if as_of is None else as_of
     spent = F.coalesce(money(F.col("spent_cents")), F.lit(0.0))
     count = F.coalesce("order_count", F.lit(0))
     segment = (
@@ -101,6 +112,13 @@ def product_analytics(
         F.sum(F.when(recent, cents("total_amount"))).alias("recent_cents"),
         F.countDistinct("user_id").alias("customers"),
     )
+    return product_mart(products, stats, tiers, refreshed_at)
+
+
+def product_mart(
+    products: DataFrame, stats: DataFrame, tiers: Tiers = Tiers(), refreshed_at: Column | None = None
+) -> DataFrame:
+    """The mart's rows from each product's totals."""
     revenue = F.coalesce(money(F.col("revenue_cents")), F.lit(0.0))
     tier = (
         F.when(revenue > tiers.star, "Star")
@@ -145,14 +163,14 @@ def product_days(orders: DataFrame, order_time: str = "_valid_from") -> DataFram
     return totals.withColumn("order_date", _day_text())
 
 
-def _by_revenue() -> Column:
+def by_revenue() -> Column:
     """Rank of a product in its day; equal revenue ranks the smallest product id first."""
     return F.struct("revenue_cents", -F.col("product_id"))
 
 
 def top_products(orders: DataFrame, order_time: str = "_valid_from") -> DataFrame:
     """Best-selling product of each day: ``order_date, top_product_id``."""
-    best = F.max_by("product_id", _by_revenue())
+    best = F.max_by("product_id", by_revenue())
     return product_days(orders, order_time).groupBy("order_date").agg(best.alias("top_product_id"))
 
 
@@ -178,8 +196,13 @@ def daily_sales(
         total("revenue_cents").alias("revenue_cents"),
         total("priced_orders").alias("priced_orders"),
         F.count_if(~F.col("of_product") & F.col("user_id").isNotNull()).alias("unique_customers"),
-        F.max_by("product_id", F.when(F.col("of_product"), _by_revenue())).alias("top_product_id"),
+        F.max_by("product_id", F.when(F.col("of_product"), by_revenue())).alias("top_product_id"),
     )
+    return daily_mart(days, refreshed_at)
+
+
+def daily_mart(days: DataFrame, refreshed_at: Column | None = None) -> DataFrame:
+    """The mart's rows from each day's totals."""
     revenue = money(F.col("revenue_cents"))
     return days.select(
         _day_text().alias("date_key"),

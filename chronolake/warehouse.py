@@ -22,7 +22,7 @@ from chronolake.functions.specs import KEY, ORDER, EntitySpec
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
 from chronolake.operators.incremental import consumption, unconsumed
 from chronolake.operators.history import build_history
-from chronolake.operators.scd2 import CLOSE_ROW, KEEP, SKIP, advance_fences, apply_actions, plan_actions
+from chronolake.operators.scd2 import CLOSE_ROW, KEEP, SKIP, TOUCH, advance_fences, apply_actions, plan_actions
 from chronolake.session import stored
 
 # Columns of the raw log.
@@ -241,7 +241,7 @@ class SilverTable:
         business = {**{c: types[c] for c in self._business_and_audit()}, "_hash": "string"}
         order = {c: types[c] for c in ORDER}
         fence = f"struct<{','.join(f'{c}:{t}' for c, t in order.items())}>"
-        versions = {**{k: v for k, v in types.items() if k != "_is_current"}, "_dropped": "boolean"}
+        versions = {**{k: v for k, v in types.items() if k != "_is_current"}, "_dropped": "boolean", "_fresh": "boolean"}
         layouts = {
             self.versions: (versions, ["_kind", "_slice", "_run_id"]),
             self.fences: ({KEY: types[KEY], "fence": fence}, ["_run_id"]),
@@ -313,7 +313,7 @@ class SilverTable:
             rows = rows.join(keys, KEY, "left_semi")
         newest = Window.partitionBy(KEY).orderBy(F.col("_run_id").desc())
         ranked = rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1 AND NOT _dropped")
-        return ranked.drop("_rank", "_dropped").withColumn("_is_current", F.lit(True))
+        return ranked.drop("_rank", "_dropped", "_fresh").withColumn("_is_current", F.lit(True))
 
     def _known_fences(self, spark: SparkSession, state: _State) -> DataFrame:
         return spark.table(self.fences).where(F.col("_run_id").between(max(state.since, state.fences), state.run))
@@ -350,6 +350,24 @@ class SilverTable:
             if not state.run - 2 < int(p["_run_id"]) <= state.run:
                 _drop_partition(spark, self.staging, p)
 
+    def committed_run(self, spark: SparkSession) -> int:
+        return self._state(spark).run
+
+    def changes(self, spark: SparkSession, after: int) -> tuple[DataFrame, DataFrame] | None:
+        """Versions opened and closed by the runs after ``after``, up to the committed one.
+
+        Only the partitions of those runs are read. Rows that were merely touched are the same versions and
+        don't show. None where a rebuild or a fold has removed a run since: read the whole table then.
+        """
+        state = self._state(spark)
+        runs = [int(p["_run_id"]) for p in _partitions(spark, self.versions) if p["_kind"] == _BASE]
+        if state.since > after or any(after + 1 < run < state.run for run in runs):
+            return None
+        rows = spark.table(self.versions).where((F.col("_run_id") > after) & (F.col("_run_id") <= state.run))
+        columns = [c for c in self.spec.silver_types() if c != "_is_current"]
+        opened = rows.where((F.col("_kind") == _DELTA) & F.col("_fresh") & ~F.col("_dropped"))
+        return opened.select(columns), rows.where(F.col("_kind") == _CLOSED).select(columns)
+
     # --- steps ---
 
     def refine(
@@ -395,7 +413,9 @@ class SilverTable:
         planned = plan_actions(self.open_rows(spark, state.run, keys), staged, self.spec, known)
         planned = stored(planned.where(~F.col("action").isin(KEEP, SKIP)), "planned")
         counts = Observation()
-        rows = apply_actions(planned, self.spec, stamp).observe(
+        touch = F.col("action") == TOUCH
+        rows = apply_actions(planned.where(~touch), self.spec, stamp).withColumn("_fresh", F.lit(True))
+        rows = rows.unionByName(apply_actions(planned.where(touch), self.spec, stamp).withColumn("_fresh", F.lit(False))).observe(
             counts,
             F.count_if(F.col("_is_current")).alias("open"),
             F.count_if(~F.col("_is_current")).alias("closed"),
@@ -463,7 +483,7 @@ class SilverTable:
         if parts:
             within = F.col("_slice").isin(parts)
             base = self.open_rows(spark).where(within).drop("_is_current", "_run_id", "_slice")
-            base = base.withColumns({"_kind": F.lit(_BASE), "_dropped": F.lit(False)})
+            base = base.withColumns({"_kind": F.lit(_BASE), "_dropped": F.lit(False), "_fresh": F.lit(False)})
             loose = spark.table(self.versions).where(self._closed_condition(state)).where(within & (F.col("_kind") == _CLOSED))
             self._append(base, run)
             self._append(loose.drop("_run_id", "_slice").withColumn("_kind", F.lit(_PACK)), run)
@@ -492,7 +512,11 @@ class SilverTable:
             counts, F.count_if(F.col("_is_current")).alias("open"), F.count_if(~F.col("_is_current")).alias("closed")
         )
         history = history.withColumns(
-            {"_kind": F.when(F.col("_is_current"), _BASE).otherwise(_PACK), "_dropped": F.lit(False)}
+            {
+                "_kind": F.when(F.col("_is_current"), _BASE).otherwise(_PACK),
+                "_dropped": F.lit(False),
+                "_fresh": F.lit(True),
+            }
         )
         self._append(history.drop("_is_current").repartition(self.buckets, KEY), run)
         fences = advance_fences(None, events).withColumn("_run_id", F.lit(run).cast("bigint"))

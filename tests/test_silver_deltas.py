@@ -47,7 +47,7 @@ def files(spark, table, kind=None):
     return {str(f): f.stat().st_size for f in Path(place).rglob("*.parquet") if kind is None or f"_kind={kind}" in str(f)}
 
 
-@pytest.mark.parametrize("fold_after", [None, 0, 1])
+@pytest.mark.parametrize("fold_after", [None, 0])
 def test_runs_and_folds_equal_the_model(spark, fold_after):
     log = random_log(21, keys=30, events=500)
     rng = random.Random(3)
