@@ -34,6 +34,7 @@ CAPACITY = 2048  # tokens of a sequence
 END = 0  # id behind each document
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary for the faster of the two libraries
+BLANKS = 10_000  # the faster library runs out of stack on runs of several hundred thousand blanks
 
 # One row for each run of ranks: ``per`` pieces of this length in each of the sequences from ``sequence`` on.
 RUN = ["length", "rank", "pieces", "per", "sequence", "offset"]
@@ -56,7 +57,8 @@ class Encoder:
     """Ids of the tokenizer file, with the strings of special tokens as ordinary text.
 
     Texts of printable Latin characters go through the rank file: the same ids at a quarter of the time.
-    For all others the two libraries' character classes might differ, so the tokenizer file is used.
+    For all others the two libraries' character classes might differ, so the tokenizer file is used, and for
+    texts with very long runs of blanks, too.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
@@ -67,9 +69,10 @@ class Encoder:
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
         self.vocabulary, self.exact = vocabulary, None
         self.other = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]")
+        self.blanks = re.compile("\\s+")
 
     def ids(self, text: str) -> list[int]:
-        if not self.other.search(text):
+        if not self.other.search(text) and not self._long_blanks(text):
             return self.fast.encode_ordinary(text)
         if self.exact is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task for each core
@@ -79,6 +82,9 @@ class Encoder:
             self.exact.encode_special_tokens = True
         return self.exact.encode(text, add_special_tokens=False).ids
 
+    def _long_blanks(self, text: str) -> bool:
+        return len(text) > BLANKS and any(m.end() - m.start() > BLANKS for m in self.blanks.finditer(text))
+
 
 def _cut(files: tuple[str, str, str], capacity: int, end: int):
     """Pieces of each text with the checksum of their ids; of a cut text, the first piece takes the rest."""

@@ -276,3 +276,29 @@ def test_warc_hot_payload_empty_table_and_damage(spark, tmp_path, monkeypatch):
     name.write_bytes(name.read_bytes()[:-30])
     with pytest.raises(Exception):
         read_warc(spark, str(tmp_path / "hot")).count()
+
+
+# --- very long texts ------------------------------------------------------------------------------
+
+
+def test_packing_of_long_blank_runs(spark):
+    from chronolake.llm.packing import Encoder, pack, tokenizer_files
+
+    encoder = Encoder(*tokenizer_files())
+    for text in ("a b" + " " * 20_000 + "c", "\n" * 12_000, "x" + "\t" * 11_000 + "y z"):
+        assert encoder.ids(text) == encoder.fast.encode_ordinary(text)  # short enough for both libraries
+    rows = [(1, " " * 1_000_000), (2, "ab" + "\n" * 1_000_000 + "cd"), (3, "ab")]
+    found = pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3}
+
+
+def test_many_secrets_in_one_text(spark):
+    from chronolake.llm.secrets import find_secrets
+
+    hexes = [f"{i:024x}" for i in range(40_000)]
+    text = " é ".join(hexes)
+    rows = spark.createDataFrame([(1, text), (2, "token: abcdef123"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in find_secrets(rows).collect()}
+    spans = [(s.start, s.end) for s in found[1] if s.kind == "hex"]
+    assert spans == [(27 * i, 27 * i + 24) for i in range(40_000)]
+    assert len(found[2]) == 1 and found[3] == []
