@@ -157,8 +157,21 @@ def candidates(postings: DataFrame, queries: dict[str, object]) -> DataFrame:
 _SPAN = "array<struct<start:int,place:int,kind:string,end:int>>"
 
 
+# Matches that one accumulator gathers: arrays are copied when they grow, so they are kept short.
+BLOCK = 128
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, rule: Rule, place: int) -> Column:
-    """All kept matches of a rule in a text, as structs that sort by start, then rule."""
+    """All kept matches of a rule in a text, as structs that sort by start, then rule.
+
+    Gaps and matches are summed up within blocks, and the blocks are shifted to their places: the work is
+    linear in the matches but for one short array for each block.
+    """
     pattern = F.lit(rule.java)
     pieces = F.arrays_zip(
         F.transform(F.split(text, rule.java, -1), F.char_length).alias("gap"),
@@ -177,7 +190,33 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
         return F.struct(end.alias("at"), kept.otherwise(done["spans"]).alias("spans"))
 
     none = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
-    return F.aggregate(pieces, none, step, lambda done: done["spans"])
+
+    def in_blocks(found: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(BLOCK))
+        return F.transform(starts, lambda at: F.aggregate(F.slice(found, at, F.lit(BLOCK)), none, step))
+
+    def shifted(blocks: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            blocks,
+            first,
+            lambda done, block: F.struct(
+                (done["at"] + block["at"]).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts")
+            ),
+            lambda done: done["starts"],
+        )
+        return F.flatten(F.zip_with(blocks, starts, _shift))
+
+    return _bound(_bound(pieces, in_blocks), shifted)
+
+
+def _shift(block: Column, by: Column) -> Column:
+    return F.transform(
+        block["spans"],
+        lambda s: F.struct(
+            (s["start"] + by).alias("start"), s["place"].alias("place"), s["kind"].alias("kind"), (s["end"] + by).alias("end")
+        ),
+    )
 
 
 def _joined(spans: Column) -> Column:
