@@ -41,7 +41,11 @@ RIDGE = 1e-2
 UNKNOWN = "und"
 
 _REST = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (category L, as in the training rows' pattern)."""
+    return any(map(str.isalpha, text))
 
 
 def windows(text: str) -> list[str]:
@@ -143,7 +147,7 @@ def _predicted(model: Model):
             texts = batch["text"].tolist()
             names = np.full(len(texts), UNKNOWN, dtype=object)
             scores = np.zeros(len(texts))
-            real = [i for i, t in enumerate(texts) if _LETTER.search(t)] if model.languages else []
+            real = [i for i, t in enumerate(texts) if has_letter(t)] if model.languages else []
             if real:
                 values = model.scores([texts[i] for i in real])
                 best = values.argmax(1)

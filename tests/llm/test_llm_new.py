@@ -302,3 +302,9 @@ def test_many_secrets_in_one_text(spark):
     spans = [(s.start, s.end) for s in found[1] if s.kind == "hex"]
     assert spans == [(27 * i, 27 * i + 24) for i in range(40_000)]
     assert len(found[2]) == 1 and found[3] == []
+
+
+def test_what_is_a_letter():
+    from chronolake.llm.language import has_letter
+
+    assert not any(map(has_letter, ["", "²", "½ ① 12 _", "٣"])) and all(map(has_letter, ["1é", "ª", "ñ", "字", "ʰ"]))
