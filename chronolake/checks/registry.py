@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from chronolake.checks import inputs as data
 from chronolake.checks.inputs import ACCOUNT, STATUS, VISIT, instant, table
 from chronolake.functions.specs import CLOSE, ENTITIES
+from chronolake.jobs.publish import publish_all
 from chronolake.operators import quality
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
 from chronolake.operators.envelope import (
@@ -44,9 +45,10 @@ from chronolake.plans.marts import (
     user_analytics,
 )
 from chronolake.session import fresh_folder, stored
-from chronolake.sources.snapshots import diff_snapshots, snapshot_to_events
+from chronolake.sources.snapshot_trees import diff_trees, write_snapshot
+from chronolake.sources.snapshots import diff_snapshots, envelope_json, snapshot_to_events
 from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
-from chronolake.warehouse import SilverTable
+from chronolake.warehouse import SilverTable, ensure_log_table, recover
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,23 +449,86 @@ def gold_incremental(spark, folder):
     for opened, closed, current in _changing_lines(spark, folder):
         totals.advance(opened, closed, current)
     users, products, stamp = data.customers(spark, folder), data.parts(spark, folder), instant(AFTER)
-    marts = {
-        "users": (totals.user_analytics(users, instant(TODAY_H), SEGMENTS_H, stamp), "user_id", "segment"),
-        "products": (totals.product_analytics(products, instant(TODAY_H), TIERS_H, stamp), "product_id", "performance_tier"),
-        "days": (totals.daily_sales(spark, stamp), "date_key", "top_product_id"),
+    return _marts_as_text(
+        {
+            "user_analytics": totals.user_analytics(users, instant(TODAY_H), SEGMENTS_H, stamp),
+            "product_analytics": totals.product_analytics(products, instant(TODAY_H), TIERS_H, stamp),
+            "sales_summary": totals.daily_sales(spark, stamp),
+        }
+    )
+
+
+def _shop_records(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Change records of users, products and orders in two deliveries: (key, value, position).
+
+    The second brings the later purchases, doubles every tenth earlier one and deletes every seventh.
+    """
+
+    def records(rows, name, op, lsn, deleted=False):
+        image = F.struct(*rows.columns)
+        before, after = (F.struct("id"), None) if deleted else (None, image)
+        return rows.select(envelope_json(before, after, F.lit(op), F.lit(0), F.lit(name), lsn).alias("value"))
+
+    users = data.customers(spark, folder).select("id", "name", "email")
+    products = data.parts(spark, folder)
+    bought = data.purchases(spark, folder)
+    orders = bought.select("id", "user_id", "product_id", "quantity", "total_amount", "status")
+    early = orders.join(bought.where(F.col("_valid_from") < instant(CUT)).select("id"), "id", "left_semi")
+    late = orders.join(bought.where(F.col("_valid_from") >= instant(CUT)).select("id"), "id", "left_semi")
+    doubled = early.where("id % 10 = 0").withColumn("total_amount", F.col("total_amount") * 2)
+    first = [records(users, "users", "c", F.lit(1)), records(products, "products", "c", F.lit(1)), records(early, "orders", "c", F.lit(1))]
+    second = [
+        records(late, "orders", "c", F.lit(2)),
+        records(doubled, "orders", "u", F.lit(2)),
+        records(early.where("id % 7 = 0"), "orders", "d", F.lit(3), deleted=True),
+    ]
+    return tuple(parts[0].unionByName(parts[1]).unionByName(parts[2]) for parts in (first, second))
+
+
+@query("pipeline_marts")
+def pipeline_marts(spark, folder):
+    """Records, log, two refinement runs of the three entities, published marts, read from their views."""
+    database, log = _fresh_silver(spark).database, None
+    for number, (records, stamp) in enumerate(zip(_shop_records(spark, folder), (CUT, AFTER))):
+        shaped = records.select(
+            F.lit("shop").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.monotonically_increasing_id().alias("offset"),
+            instant(stamp).alias("timestamp"),
+            F.lit(None).cast("string").alias("key"),
+            "value",
+        )
+        batch = stored(parse_envelope(shaped, data.ingest_clock()).withColumn("_batch_id", F.lit(number).cast("bigint")), "log")
+        log = batch if log is None else log.unionByName(batch)
+        for spec in ENTITIES.values():
+            SilverTable(database, spec, 8).refine(log, instant(stamp))
+    publish_all(spark, database)
+    return _marts_as_text({name: spark.table(f"{database}.gold_{name}") for name in ("user_analytics", "product_analytics", "sales_summary")})
+
+
+def _marts_as_text(marts: dict[str, DataFrame]) -> DataFrame:
+    """The marts' main columns under common names."""
+    columns = {
+        "user_analytics": ("users", "user_id", "total_spent", "segment", F.date_format("last_order_date", "yyyy-MM-dd")),
+        "product_analytics": (
+            "products",
+            "product_id",
+            "total_revenue",
+            "performance_tier",
+            F.round(F.col("revenue_last_30d") * 100).cast("bigint").cast("string"),
+        ),
+        "sales_summary": ("days", "date_key", "total_revenue", "top_product_id", F.col("unique_customers").cast("string")),
     }
-    revenue = {"users": "total_spent", "products": "total_revenue", "days": "total_revenue"}
-    extra = {"users": F.date_format("last_order_date", "yyyy-MM-dd"), "products": F.round(F.col("revenue_last_30d") * 100).cast("bigint").cast("string"), "days": F.col("unique_customers").cast("string")}
     rows = [
-        mart.select(
+        marts[mart].select(
             F.lit(name).alias("mart"),
             F.col(key).cast("string").alias("subject"),
             F.col("total_orders").cast("bigint").alias("total_orders"),
-            F.round(F.col(revenue[name]) * 100).cast("bigint").alias("cents"),
+            F.round(F.col(revenue) * 100).cast("bigint").alias("cents"),
             F.col(label).cast("string").alias("label"),
-            extra[name].alias("extra"),
+            extra.alias("extra"),
         )
-        for name, (mart, key, label) in marts.items()
+        for mart, (name, key, revenue, label, extra) in columns.items()
     ]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
@@ -510,6 +575,14 @@ def snapshot_diff(spark, folder):
     return diff_snapshots(table(spark, folder, "customer"), data.changed_customers(spark, folder), "c_custkey")
 
 
+@query("snapshot_diff_pruned")
+def snapshot_diff_pruned(spark, folder):
+    """As ``snapshot_diff``, from stored snapshots whose range hashes tell which ranges to read."""
+    snapshots = (table(spark, folder, "customer"), data.changed_customers(spark, folder))
+    trees = [write_snapshot(rows, "c_custkey", fresh_folder(spark, "snapshot"), width=500, fan=8) for rows in snapshots]
+    return diff_trees(*trees, "c_custkey", spark)
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
@@ -530,6 +603,19 @@ def stream_bronze(spark, folder):
     return written.select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
 
 
+@query("log_table_scan")
+def log_table_scan(spark, folder):
+    """The raw log as a catalog table over what split ingest wrote, read by entity."""
+    path = fresh_folder(spark, "log-table")
+    records = _record_stream(spark, folder, damaged=True)
+    start_split_ingest(records, f"{path}/log", f"{path}/dead", f"{path}/checkpoint", interval=None).awaitTermination()
+    database = _fresh_silver(spark).database
+    ensure_log_table(spark, f"{database}.log", f"{path}/log")
+    recover(spark, f"{database}.log")
+    rows = spark.table(f"{database}.log").where(F.col("source_table") == "users")
+    return rows.select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
+
+
 @query("stream_dlq")
 def stream_dlq(spark, folder):
     path = fresh_folder(spark, "dead")

@@ -84,3 +84,25 @@ def test_spread_only_widens_narrow_sources(spark):
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
     wide = spark.range(100, numPartitions=20)
     assert spread(wide) is wide
+
+
+def test_differences_read_only_changed_ranges(spark, tmp_path):
+    from chronolake.sources.snapshot_trees import _within, changed_ranges, diff_trees, write_snapshot
+    from chronolake.sources.snapshots import diff_snapshots
+
+    old = spark.range(-500, 4500).selectExpr("id AS k", "IF(id % 7 = 0, NULL, concat('v', id)) AS a", "CAST(NULL AS STRING) AS b")
+    changed = "CASE WHEN k = 1205 THEN 'new' WHEN k = -3 THEN NULL ELSE a END"
+    # A value that moves to the neighbouring column, a deleted row, an inserted one, and a row without a key.
+    new = old.where("k <> 4001").selectExpr("k", f"IF(k = 2222, NULL, {changed}) AS a", "IF(k = 2222, a, b) AS b")
+    new = new.unionByName(spark.createDataFrame([(9000, "x", "y"), (None, "n", None)], "k bigint, a string, b string"))
+    first = write_snapshot(old, "k", f"{tmp_path}/old", width=100, fan=4)
+    second = write_snapshot(new, "k", f"{tmp_path}/new", width=100, fan=4)
+    found = changed_ranges(first, second, spark)
+    assert {r[0] for r in found.collect()} == {12, -1, 22, 40, 90, None}
+    expected = diff_snapshots(old, new, "k").collect()
+    assert sorted(map(str, diff_trees(first, second, "k", spark).collect())) == sorted(map(str, expected))
+    read = _within(second.rows(spark), found, "_range").selectExpr("input_file_name()").distinct().count()
+    assert read <= 6 < second.rows(spark).selectExpr("input_file_name()").distinct().count()
+    assert diff_trees(first, first, "k", spark).count() == 0
+    none = write_snapshot(old.limit(0), "k", f"{tmp_path}/none", width=100, fan=4)
+    assert diff_trees(none, none, "k", spark).count() == 0
