@@ -281,7 +281,12 @@ hl AS (
 
 
 # Queries that reach another one's result by another way.
-_SAME_AS = {"snapshot_diff_pruned": "snapshot_diff", "log_table_scan": "stream_bronze"}
+_SAME_AS = {
+    "snapshot_diff_pruned": "snapshot_diff",
+    "log_table_scan": "stream_bronze",
+    "log_compacted": "stream_bronze",
+    "dq_scd2_invariants_hot": "dq_scd2_invariants",
+}
 
 
 def sql() -> dict[str, str]:

@@ -48,7 +48,7 @@ from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshot_trees import diff_trees, write_snapshot
 from chronolake.sources.snapshots import diff_snapshots, envelope_json, snapshot_to_events
 from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
-from chronolake.warehouse import SilverTable, ensure_log_table, recover
+from chronolake.warehouse import SilverTable, compact_log, ensure_log_table, recover
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -616,6 +616,15 @@ def log_table_scan(spark, folder):
     return rows.select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
 
 
+@query("log_compacted")
+def log_compacted(spark, folder):
+    """The accepted events from the clustered copy of the log."""
+    good, _ = split_events(data.parsed_log(spark, folder, damaged=True))
+    name = f"{_fresh_silver(spark).database}.log_compacted"
+    compact_log(stored(good, "log"), name, files=4)
+    return spark.table(name).select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
+
+
 @query("stream_dlq")
 def stream_dlq(spark, folder):
     path = fresh_folder(spark, "dead")
@@ -697,6 +706,15 @@ def dq_scd2_invariants(spark, folder):
     return sound.unionByName(doubled.withColumn("written", F.lit("open rows twice")))
 
 
+@query("dq_scd2_invariants_hot")
+def dq_scd2_invariants_hot(spark, folder):
+    """As ``dq_scd2_invariants``, with every key of more than ten versions cut into segments."""
+    history = stored(_history(spark, folder), "silver", "_is_current")
+    sound = quality.history_violations(history, 10).withColumn("written", F.lit("once"))
+    doubled = quality.history_violations(history.unionByName(current_rows(history)), 10)
+    return sound.unionByName(doubled.withColumn("written", F.lit("open rows twice")))
+
+
 @query("health_rollup")
 def health_rollup(spark, folder):
     return quality.connector_health(data.status_documents(spark, folder))

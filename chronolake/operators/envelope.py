@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Row images stay JSON text here; their schema belongs to the entity, not to the envelope.
+# Fields of a change event. Row images stay JSON text here; their schema belongs to the
+# entity, not to the envelope.
 ENVELOPE = T.StructType(
     [
         T.StructField("before", T.StringType()),

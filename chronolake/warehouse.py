@@ -22,6 +22,7 @@ from chronolake.functions.specs import KEY, ORDER, EntitySpec
 from chronolake.operators.decode import decode_payload, latest_per_key, with_row_hash
 from chronolake.operators.incremental import consumption, unconsumed
 from chronolake.operators.history import build_history
+from chronolake.operators.layout import clustered
 from chronolake.operators.scd2 import CLOSE_ROW, KEEP, SKIP, TOUCH, advance_fences, apply_actions, plan_actions
 from chronolake.session import stored
 
@@ -526,6 +527,18 @@ class SilverTable:
         return {**counts.get, "keyless": decoded.get["keyless"]}
 
 
+def compact_log(log: DataFrame, name: str, files: int) -> int:
+    """A clustered copy of log rows under the view ``name``: few large files that reads by row or time can skip.
+
+    For days that are complete; refinement goes on reading the log itself. ``_row_id`` is the id in the row
+    image, null where it has none or no number. The copy is made as a whole and shown by one switch of the view.
+    """
+    image = F.coalesce("after_json", "before_json")
+    rows = log.withColumn("_row_id", F.get_json_object(image, f"$.{KEY}").try_cast("bigint"))
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return publish(clustered(rows, ("_row_id", "source_ts_ms"), files), name, types)
+
+
 def publish(rows: DataFrame, name: str, types: Mapping[str, str]) -> int:
     """Replace a mart as a whole: write a new table, then point the view ``name`` at it.
 

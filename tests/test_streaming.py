@@ -1,5 +1,6 @@
 """File streams: restart, duplicate deliveries, replayed batches, both writers."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from chronolake.operators.envelope import parse_envelope, split_events
@@ -99,3 +100,21 @@ def test_old_events_are_never_too_late(spark, tmp_path):
     assert offsets(spark.read.parquet(str(tmp_path / "log"))) == list(range(1, 24))
     days = spark.read.parquet(str(tmp_path / "log")).select(F.countDistinct("kafka_timestamp")).first()[0]
     assert days == 15
+
+
+def test_await_any_stops_the_other_queries(spark):
+    from chronolake.streaming.ingest import await_any
+
+    def endless(name, fails):
+        def write(batch, number):
+            if fails and number >= 1:
+                raise RuntimeError("stop")
+
+        rows = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+        return rows.writeStream.queryName(name).foreachBatch(write).trigger(processingTime="200 milliseconds").start()
+
+    running = [endless("steady", False), endless("failing", True)]
+    with pytest.raises(Exception, match="stop"):
+        await_any(spark, running)
+    assert not any(q.isActive for q in running)
+    spark.streams.resetTerminated()
