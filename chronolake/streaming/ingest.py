@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
@@ -67,6 +68,39 @@ def start_dead_letter_writer(
     return _triggered(writer.outputMode("append").queryName("dead-letter-writer"), interval).start()
 
 
+# Names the stream that writes a log. Readers pass over files that start with an underscore.
+_OWNER = "_ingest"
+
+
+def _content(system, file) -> str:
+    stream = system.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _owned_log(spark: SparkSession, log_path: str, checkpoint: str):
+    """The file that names a log's stream, once it is sure that this checkpoint may write the log.
+
+    Refinement goes by batch numbers, and another checkpoint would count its batches anew: everything it wrote
+    would pass for read already.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    log, kept = path(log_path), path(f"{checkpoint}/metadata")
+    system = log.getFileSystem(spark._jsc.hadoopConfiguration())
+    own = kept.getFileSystem(spark._jsc.hadoopConfiguration())
+    owner = path(log, _OWNER)
+    has_rows = system.exists(log) and any(not f.getPath().getName().startswith("_") for f in system.listStatus(log))
+    if has_rows and not own.exists(kept):
+        raise ValueError(f"{log_path} was written with another checkpoint than {checkpoint}")
+    if system.exists(owner):
+        stream = json.loads(_content(own, kept))["id"] if own.exists(kept) else None
+        if _content(system, owner).strip() != stream:
+            raise ValueError(f"{log_path} was written with another checkpoint than {checkpoint}")
+    return system, owner
+
+
 def start_split_ingest(
     records: DataFrame,
     log_path: str,
@@ -81,8 +115,10 @@ def start_split_ingest(
 
     A batch writes only partitions that carry its own number and overwrites them, so a batch that
     is run again after a failure replaces its files instead of adding to them. (The batch clock is
-    part of the stream's offset log, so a repeated batch also gets the same ingest date.)
+    part of the stream's offset log, so a repeated batch also gets the same ingest date.) A log is
+    written with one checkpoint only; another one is an error.
     """
+    system, owner = _owned_log(records.sparkSession, log_path, checkpoint)
     classified = classify(parse_envelope(records, snapshot_ops=snapshot_ops))
     stream = dedupe_events(classified, delay, copy_tasks)
 
@@ -99,7 +135,12 @@ def start_split_ingest(
             batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _triggered(writer.outputMode("append").queryName("split-ingest"), interval).start()
+    query = _triggered(writer.outputMode("append").queryName("split-ingest"), interval).start()
+    if not system.exists(owner):
+        out = system.create(owner, False)
+        out.write(bytearray(f"{query.id}\n".encode()))
+        out.close()
+    return query
 
 
 def _overwrite(writer):

@@ -118,3 +118,20 @@ def test_await_any_stops_the_other_queries(spark):
         await_any(spark, running)
     assert not any(q.isActive for q in running)
     spark.streams.resetTerminated()
+
+
+def test_a_log_takes_one_checkpoint_only(spark, tmp_path):
+    feed = Feed()
+    write_records(tmp_path / "in", "1.json", feed.seeds())
+
+    def run(log, checkpoint):
+        records = read_record_files(spark, str(tmp_path / "in"))
+        start_split_ingest(records, f"{tmp_path}/{log}", f"{tmp_path}/dead-{log}", f"{tmp_path}/{checkpoint}", interval=None).awaitTermination()
+
+    run("log", "c1")
+    run("log", "c1")
+    run("other", "c2")
+    for checkpoint in ("new", "c2"):  # a new one, and that of another log
+        with pytest.raises(ValueError, match="another checkpoint"):
+            run("log", checkpoint)
+    assert offsets(spark.read.parquet(f"{tmp_path}/log")) == list(range(1, 24))
