@@ -47,9 +47,20 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     top = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
     if top < 2**53:
         return np.rint(left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    if top >= 2**63:
-        raise ValueError("scores don't fit a long")
-    return left @ right.T
+    if top < 2**63:
+        return left @ right.T
+    # Only pairs with a large vector are multiplied in Python's integers; an error is a score that is too large.
+    small = int((2**63 // max(1, left.shape[1])) ** 0.5) - 1
+    rows, columns = (np.abs(m.astype(np.float64)).max(1, initial=0) < small for m in (left, right))
+    scores = np.zeros((len(left), len(right)), dtype=np.int64)
+    scores[np.ix_(rows, columns)] = left[rows] @ right[columns].T
+    for own, other in ((~rows, np.ones(len(right), dtype=bool)), (rows, ~columns)):
+        if own.any() and other.any():
+            exact = left[own].astype(object) @ right[other].T.astype(object)
+            if max(abs(x) for x in exact.ravel()) >= 2**63:
+                raise ValueError("scores don't fit a long")
+            scores[np.ix_(own, other)] = exact.astype(np.int64)
+    return scores
 
 
 def _choose_pivots(sample: np.ndarray, wanted: int) -> np.ndarray:
@@ -86,13 +97,15 @@ def _tabled(width: int, pivots: np.ndarray):
 
 
 def _thresholds(width: int, sample: np.ndarray, sample_rows: np.ndarray, k: int):
-    """Add the k-th best score within the sample: no smaller score can be in the result."""
+    """Add the k-th best score within the sample, less rounding errors: no smaller score can be in the result."""
+    others = sample.astype(np.float64)
 
     def run(batches):
         for batch in batches:
             least = np.full(len(batch), -np.inf)
             if len(sample) > k:
-                scores = _products(_matrix(batch["vec"].tolist(), width), sample).astype(np.float64)
+                own = _matrix(batch["vec"].tolist(), width).astype(np.float64)
+                scores = own @ others.T - 1e-12 * width * np.outer(np.abs(own).max(1, initial=0), np.abs(others).max(1, initial=0)) * width
                 scores[batch["row"].to_numpy()[:, None] == sample_rows[None, :]] = -np.inf
                 least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
             yield batch.assign(least=least)

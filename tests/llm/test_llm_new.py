@@ -308,3 +308,19 @@ def test_what_is_a_letter():
     from chronolake.llm.language import has_letter
 
     assert not any(map(has_letter, ["", "²", "½ ① 12 _", "٣"])) and all(map(has_letter, ["1é", "ª", "ñ", "字", "ʰ"]))
+
+
+def test_scores_of_large_components(spark):
+    from chronolake.llm.top_k import _products, top_k
+
+    draw = np.random.default_rng(9)
+    left, right = draw.integers(-1000, 1000, (6, 4)), draw.integers(-1000, 1000, (7, 4))
+    left[2], right[3] = [2**40, 0, 5, 0], [0, 2**41, 7, 0]
+    expected = left.astype(object) @ right.T.astype(object)
+    assert _products(left, right).tolist() == expected.tolist()
+    rows = [(0, [1e9, 0.0]), (1, [0.0, 1e9]), (2, [1.0, 1.0]), (3, [2.0, -1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_k(frame, lambda key: key < 3, k=1).collect()}
+    assert found[0, 1] == (3, 1024 * 2 * 1024 * 10**9) and found[1, 1][0] == 2
+    with pytest.raises(Exception, match="fit a long"):
+        top_k(frame.unionByName(frame.where("vec_id = 0").selectExpr("7L AS vec_id", "embedding")), lambda key: key < 1).count()
