@@ -3,12 +3,13 @@
 A document is the set of its five-word shingles; two are linked from a Jaccard similarity of 0.8.
 
 1. Every set gets a sketch of minhash tokens; documents of equal sets become one node with a count.
-2. Chosen paths: each of RUNS runs splits all nodes on one sampled token of their sketches. A bucket of at
-   most LEAF nodes is compared by brute force (on sketches). In a larger one, nodes close to its hub leave
-   it, tied to the hub, and the others are split again on two more sampled tokens. A linked pair shares a
-   token with a probability of 0.8 or more, so one split misses it with 0.2 ** RUNS (4e-9), and any number
-   of splits with less than 0.25 ** RUNS (6e-8): of two tokens, both fail with (0.2 + 0.8 * m) ** 2 = m at
-   most. Sketches that agree in less than CANDIDATE although the pair is linked come on top (README).
+2. Chosen paths: each of RUNS runs splits the nodes on one sampled token of their sketches. A bucket of at
+   most LEAF nodes is compared by brute force (on sketches). In a larger one, nodes close to one of its
+   hubs leave it, tied to the hub, and the others are split again on two more sampled tokens. Before the runs, nodes
+   very close to the hub of a large bucket follow it: they leave all runs, and it stands for them. A linked pair shares a
+   token with a probability of 0.8 or more, so one split misses it with 0.2 ** RUNS (4e-9), and DEPTH
+   splits with less than 0.28 ** RUNS (3e-7): of two tokens, both fail with (0.24 + 0.76 * m) ** 2 = m at
+   most, as tokens that were split on don't come again. Sketches that agree in less than CANDIDATE although the pair is linked come on top (README).
 3. The candidate edges are a spanning forest of each bucket, linear in its size; their components hold every
    link. Within each component all pairs are then compared exactly, on whole shingle sets and in blocks:
    tasks give sums and spanning edges of the links, never the pairs.
@@ -41,6 +42,11 @@ DEPTH = 8  # splits before a bucket is dealt in blocks of pairs
 # Similarities estimated from sketches (deviation 0.05 at 0.8). A node is done in a bucket if it is so close
 # to the hub (CLOSE) that all its links are in reach of the hub, too (FAR: CLOSE less 0.2 and errors).
 CANDIDATE, CLOSE, FAR = 0.6, 0.75, 0.35
+# A node this close to the hub of a large first bucket takes part in no run: the hub leads it and stands for it
+# in all of them. Its links are at 0.6 or more to the leader, which they miss in all runs with 0.4 ** RUNS.
+FOLLOW = 0.8
+HUBS = 4  # of a large bucket
+SALTS = 32  # copies of a hub's sketch
 
 _MULTIPLY = np.random.default_rng(5).integers(1, 2**31, TOKENS, dtype=np.uint32) * 2 + 1
 _ADD = np.random.default_rng(6).integers(0, 2**32, TOKENS, dtype=np.uint32)
@@ -125,7 +131,9 @@ def _leaf_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         like = np.zeros((len(nodes), len(nodes)), dtype=np.uint8)
         for t in range(sketch.shape[1]):
             like += sketch[:, t, None] == sketch[None, :, t]
-        for x, y in _forest(like >= CANDIDATE * sketch.shape[1]):
+        leads = group["leads"].to_numpy(dtype=bool)
+        least = np.where(leads[:, None] | leads[None, :], FAR, CANDIDATE) * sketch.shape[1]
+        for x, y in _forest(like >= least):
             a.append(nodes[x])
             b.append(nodes[y])
         if len(a) > 50_000:
@@ -143,56 +151,138 @@ def _dealt(rows: DataFrame, size: Column, node: Column, most: int) -> DataFrame:
     return rows.withColumn("block", F.col("_own")).drop("_own", "_other")
 
 
-def _children(path: Column, mins: Column) -> Column:
-    """Paths of two different sampled tokens: with fewer, pairs would be lost with the depth of the splits."""
-    first = F.pmod(F.xxhash64(path, F.lit(1)), F.lit(TOKENS)).cast("int")
-    second = F.pmod(first + 1 + F.pmod(F.xxhash64(path, F.lit(2)), F.lit(TOKENS - 1)).cast("int"), F.lit(TOKENS))
-    return F.array(*[F.xxhash64(path, t + 1, F.element_at(mins, t + 1)) for t in (first, second)])
+def _children(path: Column, used: Column, mins: Column) -> Column:
+    """(path, used) of two different sampled tokens: with fewer, pairs would be lost with the depth of the splits.
+
+    Tokens that all nodes of the path have in common, as it is ``used`` up to here, split nothing and are left out.
+    """
+    free = F.array_except(F.sequence(F.lit(1), F.lit(TOKENS)), used)
+    first = F.pmod(F.xxhash64(path, F.lit(1)), F.size(free).cast("long")).cast("int")
+    step = F.pmod(F.xxhash64(path, F.lit(2)), F.size(free).cast("long") - 1).cast("int")
+    second = F.pmod(first + 1 + step, F.size(free))
+    tokens = F.array(F.element_at(free, first + 1), F.element_at(free, second + 1))
+    return F.transform(
+        tokens,
+        lambda t: F.struct(F.xxhash64(path, t, F.element_at(mins, t)).alias("path"), F.array_append(used, t).alias("used")),
+    )
+
+
+def _buckets(level: DataFrame, label: str) -> DataFrame:
+    """Buckets of two nodes or more: size, checksum of the nodes, and their hubs.
+
+    Each hub is the node of the least of some hash, leaders first, so that buckets of like nodes tend to have
+    the same hubs.
+    """
+    hubs = [
+        F.min(F.struct(~F.col("leads"), F.xxhash64("node", F.lit(i)).alias("order"), "node"))["node"] for i in range(HUBS)
+    ]
+    sizes = level.groupBy(F.col("path").alias("p")).agg(
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"),
+        F.array_distinct(F.array(*hubs)).alias("hubs"),
+    )
+    return stored(sizes.where("size > 1"), label)
+
+
+def _beside_hubs(level: DataFrame, buckets: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (node, path, hubs) of large buckets; their nodes with sketches; pairs (node, hub) with their likeness.
+
+    A node meets each hub once, however many buckets have it. A hub may meet most nodes: its sketch is copied
+    SALTS times, and its nodes are dealt to the copies.
+    """
+    large = buckets.where(F.col("size") > LEAF).select("p", "hubs")
+    inside = level.join(large.hint("merge"), F.col("path") == F.col("p")).select("node", "path", "used", "hubs", "leads")
+    inside = stored(inside, "large-rows")
+    # At most RUNS * 2 ** depth buckets hold a node.
+    beside = inside.groupBy("node").agg(
+        F.any_value("leads").alias("leads"), F.array_distinct(F.flatten(F.collect_set("hubs"))).alias("hubs")
+    )
+    beside = beside.join(own.hint("merge"), F.col("node") == F.col("s_node")).select("node", "leads", "hubs", "mins")
+    beside = stored(beside, "large-nodes")
+    pairs = beside.select("node", "mins", _salt().alias("salt"), F.explode("hubs").alias("hub"))
+    hubs = large.select(F.explode("hubs").alias("h")).distinct()
+    hubs = hubs.join(own.withColumnsRenamed({"s_node": "h_node", "mins": "hm"}).hint("merge"), F.col("h") == F.col("h_node"))
+    hubs = hubs.select("h", "hm", _salts().alias("h_salt"))
+    equal = F.aggregate(
+        F.zip_with("mins", "hm", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
+    )
+    met = pairs.join(hubs.hint("merge"), (F.col("hub") == F.col("h")) & (F.col("salt") == F.col("h_salt")))
+    met = met.select("node", "hub", "salt", (equal / TOKENS).alias("like")).where(F.col("like") >= FAR)
+    return inside, beside, stored(met, "hub-likeness")
+
+
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(3)), F.lit(SALTS).cast("long"))
+
+
+def _salts() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+
+
+def _tied(met: DataFrame) -> DataFrame:
+    """Edges to hubs: from CANDIDATE, or from FAR if a close node may have left with the hub, links and all."""
+    others = met.where(F.col("node") != F.col("hub"))
+    strong = others.where(F.col("like") >= CANDIDATE).select("hub", "node")
+    left_with = others.where(F.col("like") >= CLOSE).select(F.col("hub").alias("h")).distinct()
+    left_with = left_with.select("h", _salts().alias("h_salt"))
+    weak = others.where(F.col("like") < CANDIDATE)
+    weak = weak.join(left_with.hint("merge"), (F.col("hub") == F.col("h")) & (F.col("salt") == F.col("h_salt")))
+    return strong.unionByName(weak.select("hub", "node"))
+
+
+def _first_paths(sketches: DataFrame, runs: range) -> DataFrame:
+    tokens = {run: run * (TOKENS // RUNS) + 1 for run in runs}
+    first = [
+        F.struct(F.xxhash64(F.lit(run), F.element_at("mins", t)).alias("path"), F.array(F.lit(t)).alias("used"))
+        for run, t in tokens.items()
+    ]
+    return sketches.select("node", "leads", F.inline(F.array(*first)))
 
 
 def _candidate_edges(nodes: DataFrame) -> DataFrame:
     """Edges whose components hold every link, from chosen paths over the nodes (node, mins)."""
-    sketches = nodes.select("node", "mins")
-    own = sketches.withColumnRenamed("node", "s_node")
-    narrow = max(8, nodes.count() * RUNS // 1_000_000)  # files of tables with a row for each bucket
-    first = [F.xxhash64(F.lit(run), F.element_at("mins", run * (TOKENS // RUNS) + 1)) for run in range(RUNS)]
-    level = sketches.select("node", F.explode(F.array(*first)).alias("path"))
-    leaves, edges = [], []
+    own = nodes.select(F.col("node").alias("s_node"), "mins")
+    sketches = nodes.select("node", "mins", F.lit(False).alias("leads"))
+    edges, levels, leaves = [], [], []
+    # Large groups of near copies leave before the runs, by the buckets of one of them.
+    level = _first_paths(sketches, range(1))
+    buckets = _buckets(level, "first-buckets")
+    if not buckets.where(F.col("size") > LEAF).isEmpty():
+        _, _, met = _beside_hubs(level, buckets, own)
+        edges.append(_tied(met))
+        follows = met.where((F.col("like") >= FOLLOW) & (F.col("node") != F.col("hub")))
+        leaders = follows.select(F.col("hub").alias("f_node"), F.lit(True).alias("f_leads"))
+        follows = leaders.distinct().unionByName(follows.select(F.col("node").alias("f_node"), F.lit(False).alias("f_leads")))
+        follows = follows.groupBy("f_node").agg(F.max("f_leads").alias("f_leads"))
+        sketches = sketches.join(follows.hint("merge"), F.col("node") == F.col("f_node"), "left")
+        sketches = sketches.where(F.coalesce("f_leads", F.lit(True)))
+        sketches = stored(sketches.select("node", "mins", F.coalesce("f_leads", F.lit(False)).alias("leads")), "remaining")
+    level = _first_paths(sketches, range(RUNS))
     for depth in range(DEPTH + 1):
-        sizes = level.groupBy("path").agg(
-            F.count(F.lit(1)).alias("size"),
-            F.bit_xor(F.xxhash64("node")).alias("mark"),
-            F.min(F.xxhash64("node", "path")).alias("hub"),
-        )
-        sizes = stored(sizes.where("size > 1").coalesce(narrow), "bucket-sizes")
-        # Buckets of the same nodes (equal count and checksum) are compared once.
-        once = sizes if depth == DEPTH else sizes.where(F.col("size") <= LEAF)
-        once = once.groupBy("size", "mark").agg(F.min("path").alias("p"))
-        leaf_rows = level.join(once.hint("merge"), F.col("path") == F.col("p"))
-        leaves.append(leaf_rows.select("node", "path", "size"))
-        large = sizes.where(F.col("size") > LEAF).select(F.col("path").alias("p"), "hub")
-        if depth == DEPTH or large.isEmpty():
+        buckets = _buckets(level, "bucket-sizes")
+        levels.append(level)
+        leaves.append(buckets if depth == DEPTH else buckets.where(F.col("size") <= LEAF))
+        if depth == DEPTH or buckets.where(F.col("size") > LEAF).isEmpty():
             break
-        inside = level.join(large.hint("merge"), F.col("path") == F.col("p")).select("node", "path", "hub")
-        inside = inside.join(own.hint("merge"), F.col("node") == F.col("s_node")).drop("s_node")
-        inside = stored(inside, "large-rows")
-        hubs = inside.where(F.xxhash64("node", "path") == F.col("hub"))
-        hubs = hubs.select(F.col("path").alias("p"), F.col("node").alias("h"), F.col("mins").alias("hm"))
-        equal = F.aggregate(
-            F.zip_with("mins", "hm", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
-        )
-        near = inside.join(hubs.hint("merge"), F.col("path") == F.col("p"))
-        near = stored(near.select("node", "path", "h", "mins", (equal / TOKENS).alias("like")), "hub-likeness")
-        edges.append(near.where((F.col("like") >= FAR) & (F.col("node") != F.col("h"))).select("h", "node"))
-        level = near.where(F.col("like") < CLOSE)
-        level = level.select("node", F.explode(_children(F.col("path"), F.col("mins"))).alias("path"))
+        inside, beside, met = _beside_hubs(level, buckets, own)
+        edges.append(_tied(met))
+        close = met.where(F.col("like") >= CLOSE).groupBy(F.col("node").alias("c_node"))
+        close = close.agg(F.collect_set("hub").alias("close"))
+        beside = beside.join(close.hint("merge"), F.col("node") == F.col("c_node"), "left")
+        beside = beside.select(F.col("node").alias("t_node"), "mins", F.coalesce("close", F.array().cast("array<long>")).alias("close"))
+        level = inside.join(beside.hint("merge"), F.col("node") == F.col("t_node"))
+        leads_on = F.col("leads") & ~F.array_contains("hubs", F.col("node"))
+        level = level.where(leads_on | ~F.arrays_overlap("hubs", "close"))
+        level = level.select("node", "leads", F.inline(_children(F.col("path"), F.col("used"), F.col("mins"))))
         level = stored(level, "paths")
-    rows = functools.reduce(DataFrame.unionByName, leaves)
-    rows = rows.join(own.hint("merge"), F.col("node") == F.col("s_node")).select("node", "path", "size", "mins")
-    rows = _dealt(rows, F.col("size"), F.col("node"), LEAF).select("path", "i", "j", "node", "mins")
+    # Leaves of the same nodes (equal count and checksum) are compared once, whatever their run and depth.
+    once = functools.reduce(DataFrame.unionByName, leaves).groupBy("size", "mark").agg(F.min("p").alias("p"))
+    rows = functools.reduce(DataFrame.unionByName, levels).join(once.hint("merge"), F.col("path") == F.col("p"))
+    rows = rows.join(own.hint("merge"), F.col("node") == F.col("s_node")).select("node", "leads", "path", "size", "mins")
+    rows = _dealt(rows, F.col("size"), F.col("node"), LEAF).select("path", "i", "j", "node", "leads", "mins")
     rows = rows.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
     compared = rows.mapInPandas(_leaf_edges, "a long, b long")
-    tied = [e.select(F.col("h").alias("a"), F.col("node").alias("b")) for e in edges]
+    tied = [e.select(F.col("hub").alias("a"), F.col("node").alias("b")) for e in edges]
     return functools.reduce(DataFrame.unionByName, tied, compared)
 
 
