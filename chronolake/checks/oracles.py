@@ -442,6 +442,15 @@ UNION ALL SELECT 'amount', count(*), false FROM events WHERE event_type <> 'erro
         "dq_message_rate": "SELECT 'users' AS source_table, date_trunc('hour', ts) AS window_start, count(*) AS event_count FROM events GROUP BY 2",
         "dq_lag": """SELECT 'users' AS source_table, count(*) AS event_count, min(event_id % 5000) AS min_lag_ms,
        max(event_id % 5000) AS max_lag_ms, CAST(sum(event_id % 5000) AS DOUBLE) / count(*) AS avg_lag_ms FROM events""",
+        "stream_lag": """WITH l AS (SELECT date_trunc('day', ts) AS day, event_id % 5000 AS lag FROM events),
+b AS (SELECT day, lag, CAST(1 AS BIGINT) << greatest(length(bin(lag)) - 5, 0) AS width FROM l),
+h AS (SELECT day, lag - lag % width + width AS lag_to, count(*) AS n FROM b GROUP BY 1, 2),
+r AS (SELECT *, sum(n) OVER (PARTITION BY day ORDER BY lag_to) AS reached, sum(n) OVER (PARTITION BY day) AS total FROM h)
+SELECT 'users' AS source_table, day, CAST(sum(n) AS BIGINT) AS event_count,
+       min(lag_to) FILTER (reached * 100 >= total * 50) AS p50_lag_ms,
+       min(lag_to) FILTER (reached * 100 >= total * 95) AS p95_lag_ms,
+       min(lag_to) FILTER (reached * 100 >= total * 99) AS p99_lag_ms
+FROM r GROUP BY day""",
         "dq_scd2_invariants": f"""WITH {_HISTORY}
 SELECT id, CAST(2 AS BIGINT) AS open_rows, CAST(0 AS BIGINT) AS flag_mismatches, CAST(1 AS BIGINT) AS overlaps, 'open rows twice' AS written FROM hs WHERE _is_current""",
         "health_rollup": f"""WITH {_HEALTH}

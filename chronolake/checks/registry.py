@@ -48,6 +48,7 @@ from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshot_trees import diff_trees, write_snapshot
 from chronolake.sources.snapshots import diff_snapshots, envelope_json, snapshot_to_events
 from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
+from chronolake.streaming.lag import read_lag_histogram, start_lag_writer
 from chronolake.warehouse import SilverTable, compact_log, ensure_log_table, recover
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -697,6 +698,17 @@ def dq_lag(spark, folder):
     return quality.ingest_lag(data.parsed_log(spark, folder))
 
 
+@query("stream_lag")
+def stream_lag(spark, folder):
+    """Lag percentiles per entity and day, from hourly histograms that a stream keeps."""
+    path = fresh_folder(spark, "lag")
+    events = parse_envelope(_record_stream(spark, folder), data.ingest_clock())
+    # The files aren't in the order of event time: none of the month may be too late.
+    start_lag_writer(events, f"{path}/lag", f"{path}/checkpoint", delay="60 days", interval=None).awaitTermination()
+    days = read_lag_histogram(spark, f"{path}/lag").withColumn("day", F.date_trunc("day", "window_start"))
+    return quality.lag_percentiles(days, "source_table", "day")
+
+
 @query("dq_scd2_invariants")
 def dq_scd2_invariants(spark, folder):
     """A sound history breaks no rule; with its open rows written twice it breaks two per open key."""

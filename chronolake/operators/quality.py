@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolake.functions.specs import KEY, EntitySpec
 from chronolake.operators.history import end_of_validity
 from chronolake.operators.skew import MAX_ROWS_PER_KEY, balance, with_neighbours
 
+LAG_BITS = 5  # leading binary digits that a bucket of lags keeps
+
 
 def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and NULLs per column, from one pass: ``column_name, total_rows, null_rows``."""
@@ -81,6 +83,40 @@ def ingest_lag(events: DataFrame) -> DataFrame:
     return counts.select("source_table", "event_count", "min_lag_ms", "max_lag_ms", mean.alias("avg_lag_ms"))
 
 
+def lag_histogram(events: DataFrame, every: str = "1 hour", at: Column | None = None) -> DataFrame:
+    """Events per entity, window of the source clock and bucket of lag, [lag_from_ms, lag_to_ms).
+
+    A bucket is at most a sixteenth as wide as its lags, lags below 32 ms have buckets of their own, and clocks
+    that run ahead count as no lag. Counts of any windows, entities or parts of a log add up.
+    """
+    lag = F.greatest(F.unix_millis("processed_at") - F.col("source_ts_ms"), F.lit(0))
+    at = F.timestamp_millis("source_ts_ms") if at is None else at
+    spare_bits = F.greatest(F.length(F.bin(lag)) - LAG_BITS, F.lit(0))
+    width = F.expr("shiftleft(1L, _spare_bits)")
+    rows = events.select("source_table", F.window(at, every).alias("w"), lag.alias("_lag"), spare_bits.alias("_spare_bits"))
+    rows = rows.where("_lag IS NOT NULL").withColumn("_width", width)
+    first = (F.col("_lag") - F.col("_lag") % F.col("_width")).alias("lag_from_ms")
+    counts = rows.groupBy("source_table", "w", first, "_width").agg(F.count(F.lit(1)).alias("event_count"))
+    end = F.col("lag_from_ms") + F.col("_width")
+    return counts.select("source_table", F.col("w.start").alias("window_start"), "lag_from_ms", end.alias("lag_to_ms"), "event_count")
+
+
+def lag_percentiles(histogram: DataFrame, *by: str, percents: Sequence[int] = (50, 95, 99)) -> DataFrame:
+    """Per group: events, and for each percent the bucket end below which that many of the events lie.
+
+    Counts are added by bucket before they are ranked, so a group is ranked over a few hundred rows.
+    """
+    merged = histogram.groupBy(*by, "lag_to_ms").agg(F.sum("event_count").alias("n"))
+    reached = F.sum("n").over(Window.partitionBy(*by).orderBy("lag_to_ms"))
+    total = F.sum("n").over(Window.partitionBy(*by))
+    ranked = merged.withColumns({"_reached": reached, "_total": total})
+    ends = [
+        F.min(F.when(F.col("_reached") * 100 >= F.col("_total") * p, F.col("lag_to_ms"))).alias(f"p{p}_lag_ms")
+        for p in percents
+    ]
+    return ranked.groupBy(*by).agg(F.sum("n").alias("event_count"), *ends)
+
+
 def history_violations(history: DataFrame, max_rows_per_key: int = MAX_ROWS_PER_KEY) -> DataFrame:
     """Keys that break a history rule: several open rows, open flag and end disagree, or overlap.
 
