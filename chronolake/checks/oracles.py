@@ -285,6 +285,7 @@ _SAME_AS = {
     "snapshot_diff_pruned": "snapshot_diff",
     "log_table_scan": "stream_bronze",
     "log_compacted": "stream_bronze",
+    "stream_dedup_late_copy": "stream_bronze",
     "dq_scd2_invariants_hot": "dq_scd2_invariants",
 }
 
@@ -382,6 +383,11 @@ WHERE _valid_from <= TIMESTAMP '2024-01-16' AND (_valid_to IS NULL OR _valid_to
         "scd2_fact_join": f"""WITH {_HISTORY}
 SELECT e.event_id, e.user_id, hs.status, hs._valid_from, hs._valid_to
 FROM events e LEFT JOIN hs ON hs.id = e.user_id AND e.ts >= hs._valid_from AND (hs._valid_to IS NULL OR e.ts < hs._valid_to)""",
+        "stream_fact_join": f"""WITH {_HISTORY},
+mk AS (SELECT max(greatest(_valid_from, coalesce(_valid_to, _valid_from))) - INTERVAL 5 DAY AS mark FROM hs)
+SELECT e.event_id, e.user_id, hs.status, hs._valid_from, e.ts IS NULL OR coalesce(e.ts <= mk.mark, false) AS settled
+FROM mk CROSS JOIN events e
+LEFT JOIN hs ON hs.id = e.user_id AND e.ts >= hs._valid_from AND (hs._valid_to IS NULL OR e.ts < hs._valid_to)""",
         "scd2_fact_join_hot": f"""WITH {_HISTORY}
 SELECT e.event_id, e.user_id, hs.status, hs._valid_from, hs._valid_to
 FROM events e LEFT JOIN hs ON hs.id = e.user_id AND e.ts >= hs._valid_from AND (hs._valid_to IS NULL OR e.ts < hs._valid_to)""",

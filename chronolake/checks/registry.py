@@ -47,8 +47,10 @@ from chronolake.plans.marts import (
 from chronolake.session import fresh_folder, stored
 from chronolake.sources.snapshot_trees import diff_trees, write_snapshot
 from chronolake.sources.snapshots import diff_snapshots, envelope_json, snapshot_to_events
+from chronolake.streaming.facts import read_facts, start_fact_writer
 from chronolake.streaming.ingest import COPY_TASKS, start_dead_letter_writer, start_log_writer, start_split_ingest
 from chronolake.streaming.lag import read_lag_histogram, start_lag_writer
+from chronolake.streaming.seen import start_distinct_log_writer
 from chronolake.warehouse import SilverTable, compact_log, ensure_log_table, recover
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +646,24 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(path).select("event_id", "kafka_offset", "raw_value")
 
 
+@query("stream_dedup_late_copy")
+def stream_dedup_late_copy(spark, folder):
+    """All good events delivered, and ten days later all of them again, to a stream started anew."""
+    path = fresh_folder(spark, "late-copies")
+    good, _ = split_events(data.parsed_log(spark, folder, damaged=True))
+
+    def deliver(events):
+        events.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(good.schema).parquet(f"{path}/in")
+        paths = (f"{path}/log", f"{path}/seen", f"{path}/checkpoint")
+        start_distinct_log_writer(stream, *paths, interval=None).awaitTermination()
+
+    deliver(good)
+    deliver(good.withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 10 days")))
+    written = spark.read.parquet(f"{path}/log")
+    return written.select("event_id", "operation", "source_table", "after_json", "before_json", "source_ts_ms")
+
+
 @query("stream_split")
 def stream_split(spark, folder):
     path = fresh_folder(spark, "split")
@@ -709,6 +729,27 @@ def stream_lag(spark, folder):
     return quality.lag_percentiles(days, "source_table", "day")
 
 
+@query("stream_fact_join")
+def stream_fact_join(spark, folder):
+    """Events as facts, in two deliveries by time; those of the last five days aren't settled yet."""
+    path = fresh_folder(spark, "facts")
+    history = stored(_history(spark, folder), "silver", "_is_current")
+    facts = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    names = ("user_id", "ts", ["status"])
+
+    def deliver(some):
+        some.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(facts.schema).parquet(f"{path}/in")
+        paths = (f"{path}/out", f"{path}/checkpoint")
+        start_fact_writer(stream, lambda: history, *names, *paths, delay="5 days", interval=None).awaitTermination()
+
+    early = F.col("ts").cast("timestamp") < instant(CUT)
+    deliver(facts.where(early))
+    deliver(facts.where(~F.coalesce(early, F.lit(False))))
+    found = read_facts(spark, f"{path}/out", facts, history, *names)
+    return found.select("event_id", "user_id", "status", "_valid_from", "settled")
+
+
 @query("dq_scd2_invariants")
 def dq_scd2_invariants(spark, folder):
     """A sound history breaks no rule; with its open rows written twice it breaks two per open key."""

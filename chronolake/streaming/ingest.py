@@ -101,6 +101,14 @@ def _owned_log(spark: SparkSession, log_path: str, checkpoint: str):
     return system, owner
 
 
+def _claim(system, owner, query: StreamingQuery) -> None:
+    """Name the stream in its log, if it isn't yet."""
+    if not system.exists(owner):
+        out = system.create(owner, False)
+        out.write(bytearray(f"{query.id}\n".encode()))
+        out.close()
+
+
 def start_split_ingest(
     records: DataFrame,
     log_path: str,
@@ -136,10 +144,7 @@ def start_split_ingest(
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     query = _triggered(writer.outputMode("append").queryName("split-ingest"), interval).start()
-    if not system.exists(owner):
-        out = system.create(owner, False)
-        out.write(bytearray(f"{query.id}\n".encode()))
-        out.close()
+    _claim(system, owner, query)
     return query
 
 
