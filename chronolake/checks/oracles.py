@@ -435,6 +435,13 @@ FROM o FULL OUTER JOIN w ON o.id = w.id WHERE before_json IS DISTINCT FROM after
 UNION ALL SELECT 'status', count(*), true FROM events WHERE event_type <> 'error'
 UNION ALL SELECT 'k', count(*), true FROM events WHERE event_type <> 'error'
 UNION ALL SELECT 'amount', count(*), false FROM events WHERE event_type <> 'error'""",
+        "schema_evolution": """WITH later AS (SELECT * FROM events WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-16')
+SELECT 'users' AS source_table, * FROM (
+  SELECT 'id' AS field, 'unchanged' AS change, 'bigint' AS old_kind, 'bigint' AS new_kind, count(user_id) AS row_count FROM later
+  UNION ALL SELECT 'status', 'unchanged', 'string', 'string', count(event_type) FROM later
+  UNION ALL SELECT 'amount', 'widened', 'bigint', 'double', count("value") FROM later
+  UNION ALL SELECT 'k', 'added', NULL, 'bigint', count(json_extract_string(props, '$.k')) FROM later
+  UNION ALL SELECT 'flag', 'dropped', 'boolean', 'boolean', 0)""",
         "dq_duplicates": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
         "dq_orphans": "\nUNION ALL ".join(
             f"SELECT '{child}.{column}' AS reference, {column} AS missing_key, count(*) AS row_count FROM {child} "

@@ -32,6 +32,7 @@ from chronolake.operators.history import (
     splice_late,
 )
 from chronolake.operators.incremental import high_watermark, incremental_slice, read_watermark
+from chronolake.operators.schemas import observed_fields, schema_changes
 from chronolake.operators.scd2 import advance_fences, apply_scd2, empty_silver, plan_actions, unseen_rows
 from chronolake.plans.distincts import customer_days, distinct_customers
 from chronolake.plans.increments import OrderTotals
@@ -689,6 +690,19 @@ def dq_payload_fields(spark, folder):
     return quality.payload_fields(data.parsed_log(spark, folder), VISIT)
 
 
+@query("schema_evolution")
+def schema_evolution(spark, folder):
+    """Fields of the later events against a registry of the earlier ones, whose images were of another layout."""
+    log = data.parsed_log(spark, folder)
+    early = F.col("kafka_timestamp") < instant(CUT)
+    image = F.from_json("after_json", "id bigint, status string, amount double")
+    earlier = log.where(early).withColumn("_image", image).where(F.col("_image").isNotNull())
+    fields = [F.col("_image.id"), F.col("_image.status"), F.floor("_image.amount").alias("amount")]
+    layout = F.to_json(F.struct(*fields, (F.col("kafka_offset") % 2 == 0).alias("flag")))
+    known = observed_fields(earlier.withColumn("after_json", layout)).select("source_table", "field", "kind")
+    return schema_changes(known, observed_fields(log.where(~early)))
+
+
 @query("dq_duplicates")
 def dq_duplicates(spark, folder):
     return quality.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
