@@ -2,7 +2,8 @@
 
 A plain window puts a whole key into one task. Here keys above ``max_rows`` are found first (a
 map-side combined count), and only their rows are cut into contiguous, evenly filled segments by
-a range partitioning on (key, order). Work then runs per segment, and only segment borders meet in
+a range partitioning on (key, order) into as many tasks as the rows need, each cut into runs of at most
+``max_rows``. Work then runs per segment, and only segment borders meet in
 one task: at most two rows per segment.
 
 Rows of one key that agree in the order (copies of one event, facts of one instant) may be cut
@@ -24,6 +25,9 @@ from chronolake.session import shared_folder
 # Rows of one key that one task may sort on its own.
 MAX_ROWS_PER_KEY = 2_000_000
 
+# Hot rows that one task sorts, when many keys are hot.
+_ROWS_PER_TASK = 1_000_000
+
 # Hot keys that may be broadcast. There are at most total rows / MAX_ROWS_PER_KEY of them.
 _MAX_BROADCAST_KEYS = 1_000_000
 
@@ -52,12 +56,20 @@ def balance(rows: DataFrame, key: str, order: Sequence[str], max_rows: int = MAX
     if load["keys"] <= _MAX_BROADCAST_KEYS:
         names = F.broadcast(names)
     segments = max(2, -(-load["rows"] // max_rows))
+    tasks = min(segments, max(spark.sparkContext.defaultParallelism, -(-load["rows"] // _ROWS_PER_TASK)))
+    ordered = [F.col(c).asc() for c in (key, *order, "_tie")]
+    # A segment is a run of at most max_rows rows in a task's sorted range, not a task of its own: the
+    # number of tasks follows the rows, not the rows over max_rows. Numbers rise along (key, order).
+    seq = F.monotonically_increasing_id()
+    place = F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
     hot = (
         rows.withColumn("_tie", F.spark_partition_id())
         .join(names, is_hot, "left_semi")
-        .repartitionByRange(segments, *[F.col(c).asc() for c in (key, *order, "_tie")])
-        .withColumn(SEGMENT, F.spark_partition_id())
-        .drop("_tie")
+        .repartitionByRange(tasks, *ordered)
+        .sortWithinPartitions(*ordered)
+        .withColumn("_seq", seq)
+        .withColumn(SEGMENT, F.col("_seq") - place + F.floor(place / F.lit(max_rows)).cast("long"))
+        .drop("_tie", "_seq")
     )
     return Balanced(rows.join(names, is_hot, "left_anti"), hot)
 

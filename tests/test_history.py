@@ -180,3 +180,15 @@ def test_splicing_leaves_other_versions_alone(spark):
     assert sorted(map(str, spliced.collect())) == sorted(map(str, build_history(decoded(spark, log), STATUS).collect()))
     touched = set(map(str, history.collect())) ^ set(map(str, spliced.collect()))
     assert len(touched) < 40
+
+
+def test_segments_of_a_small_limit_do_not_make_a_task_each(spark):
+    """A limit of ten rows cuts keys into runs of ten, in a number of tasks that follows the rows."""
+    rows = spark.range(3000).selectExpr("id % 3 AS k", "id AS o")
+    hot = balance(rows, "k", ["o"], 10).hot
+    assert hot.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    found = hot.groupBy("k", SEGMENT).agg(F.count("*").alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi")).collect()
+    assert sum(r.n for r in found) == 3000 and max(r.n for r in found) <= 10
+    for k in range(3):
+        runs = sorted((r[SEGMENT], r.lo, r.hi) for r in found if r.k == k)
+        assert all(a[2] < b[1] for a, b in zip(runs, runs[1:]))  # segments follow the order
