@@ -40,15 +40,27 @@ def interleaved(steps: Sequence[Column], bits: int = BITS) -> Column:
     return total
 
 
-def clustered(rows: DataFrame, by: Sequence[str], files: int, bits: int = BITS) -> DataFrame:
-    """Rows dealt into ``files`` ranges of their Z-order over the numeric columns ``by``, sorted within.
+def _bytes(rows: DataFrame) -> Column:
+    """About the size of the rows: the bytes of strings and binaries, eight for any other value."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8)
+        for f in rows.schema
+    ]
+    return F.sum(sum(sizes[1:], sizes[0]) if sizes else F.lit(0)).cast("bigint")
 
-    The quantiles are approximate (one pass, some hundred numbers for each column reach the driver). Rows of
-    one box can be cut apart at any of the columns, so a frequent value doesn't fill one file.
+
+def clustered(rows: DataFrame, by: Sequence[str], files: int, bits: int = BITS, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Rows dealt into ranges of their Z-order over the numeric columns ``by``, sorted within.
+
+    ``files`` ranges at least, and as many more as keep a range near ``file_bytes``, so that the task that
+    sorts and writes one holds a bounded share of the rows however large they grow. The quantiles and the
+    size are approximate (one pass, some hundred numbers for each column reach the driver). Rows of one box
+    can be cut apart at any of the columns, so a frequent value doesn't fill one file.
     """
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = rows.agg(*[F.percentile_approx(c, F.lit(shares), 10_000).alias(c) for c in by]).first()
+    found = rows.agg(*[F.percentile_approx(c, F.lit(shares), 10_000).alias(c) for c in by], _bytes(rows).alias("_bytes")).first()
     steps = [quantile_step(F.col(c), sorted(set(found[c] or []))) for c in by]
+    ranges = max(files, -(-(found["_bytes"] or 0) // file_bytes))
     order = ["_z", *by]
     placed = rows.withColumn("_z", interleaved(steps, bits))
-    return placed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_z")
+    return placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("_z")

@@ -37,3 +37,13 @@ def test_point_reads_skip_most_files(spark, tmp_path):
     both = sum(b["row_id"][0] <= 2500 <= b["row_id"][1] and b["at"][0] <= 500_000 <= b["at"][1] for b, _ in boxes)
     assert both <= 4
     assert clustered(rows.limit(0), ("row_id", "at"), 4).count() == 0
+
+
+def test_ranges_grow_with_the_rows_so_a_task_sorts_a_bounded_share(spark):
+    rows = spark.range(20_000).selectExpr("id", "pmod(xxhash64(id), 5000) AS row_id", "id * 7 AS at", "repeat('x', 40) AS text")
+    laid = clustered(rows, ("row_id", "at"), 4, file_bytes=100_000)
+    sizes = laid.rdd.glom().map(len).collect()
+    assert sum(sizes) == 20_000 and len(sizes) > 4
+    assert max(sizes) < 6 * 20_000 / len(sizes)
+    small = clustered(rows.limit(10), ("row_id", "at"), 4)
+    assert small.rdd.getNumPartitions() <= 4 and small.count() == 10
