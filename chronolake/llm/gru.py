@@ -6,6 +6,9 @@ The output is a class (softmax over all classes) and, for classes with listed wo
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 
 HIDDEN = 24
@@ -19,6 +22,32 @@ RATE = 0.01
 
 Weights = dict[str, np.ndarray]
 
+_SETTERS = ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads")
+
+
+@functools.cache
+def one_thread() -> int:
+    """Keep numpy's OpenBLAS of this process to one thread; the number of libraries so set.
+
+    The products here are small, and Spark already runs a task on each core: by default OpenBLAS starts a
+    thread for every core of the machine in every Python worker, and they spin, burning about ten times the
+    processor time of the work itself. One thread also makes the sums the same on any machine.
+    """
+    try:
+        with open("/proc/self/maps") as maps:
+            paths = {line.split()[-1] for line in maps if "openblas" in line.lower() and line.rstrip().endswith(".so")}
+    except OSError:
+        return 0
+    done = 0
+    for path in sorted(paths):
+        library = ctypes.CDLL(path)
+        for name in _SETTERS:
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                done += 1
+                break
+    return done
+
 
 def initial(counts: np.ndarray, listed: int) -> Weights:
     """Random weights whose biases give the frequencies ``counts``: listed words first, then rare classes."""
@@ -193,6 +222,7 @@ class Learner:
 
     def learn(self, texts: list[np.ndarray], end: int, rate: float) -> int:
         """One pass over texts given as ids, each closed by ``end``, in windows; the number of ids predicted."""
+        one_thread()
         stream = np.concatenate([np.array([end]), *texts])
         streams = min(STREAMS, max(1, (len(stream) - 1) // (4 * WINDOW)))
         length = -(-(len(stream) - 1) // streams)
@@ -241,6 +271,7 @@ def score(w: Weights, texts: list[np.ndarray], end: int) -> np.ndarray:
     Texts of like length run side by side, window by window; states are carried from window to window, so
     every word is predicted from the whole text before it.
     """
+    one_thread()
     given, ut = (w["emb"] @ w["wx"] + w["b"]).T, np.ascontiguousarray(w["u"].T)
     total = np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))

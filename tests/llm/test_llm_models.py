@@ -207,3 +207,20 @@ def test_network_schedule_does_not_switch_by_corpus_size(spark, monkeypatch):
     found = lm_scores(frame).collect()
     assert len(calls) == lm_scoring.ROUNDS
     assert seen.value == found[0].train_tokens
+
+
+def test_network_keeps_openblas_to_one_thread():
+    """Spark runs a task on each core; the network's products must not start a spinning thread on every core too."""
+    import ctypes
+
+    with open("/proc/self/maps") as maps:
+        paths = sorted({line.split()[-1] for line in maps if "openblas" in line.lower() and line.rstrip().endswith(".so")})
+    libraries = [ctypes.CDLL(p) for p in paths]
+    getters = [getattr(lib, n) for lib in libraries for n in ("scipy_openblas_get_num_threads64_", "openblas_get_num_threads") if hasattr(lib, n)]
+    if not getters:
+        pytest.skip("numpy is not built on OpenBLAS here")
+    w = gru.initial(np.arange(1.0, 1057.0), 1024)
+    texts = [np.array([3, 40, 1030, 7]), np.array([7])]
+    gru.Learner(w).learn(texts, 7, gru.RATE)
+    gru.score(w, texts, 7)
+    assert [get() for get in getters] == [1] * len(getters)
